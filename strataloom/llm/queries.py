@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataloom.llm import mojibake, names
+from strataloom.llm import firms, mojibake, names, spans
 from strataloom.runtime import table
 
 
@@ -12,9 +12,21 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return names.variant_pairs(table(spark, sf_dir, "tokens"))
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return firms.canonical_firms(*[table(spark, sf_dir, n) for n in ("firm_canonical", "tokens", "domain_map", "firm_list")])
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mojibake.restore_tokens(table(spark, sf_dir, "tokens"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p7_found)}
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.shared_pairs(table(spark, sf_dir, "documents"))
+
+
+def p10_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.shared_share(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p3_found, p6_found, p7_found, p10_found, p10_shared)}
 ORACLE: dict[str, str] = {}
