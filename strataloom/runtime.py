@@ -55,3 +55,11 @@ def materialise(df: DataFrame, label: str, partition_by: list[str] | None = None
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """``df`` in enough partitions for heavy work on each row, by the hash of ``by`` or in turn.
+
+    A fixed number keeps adaptive execution from joining small partitions again: rows that are few bytes can be much work.
+    """
+    return df.repartition(3 * df.sparkSession.sparkContext.defaultParallelism, *by)
