@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataloom.llm import firms, mojibake, names, spans
+from strataloom.llm import firms, handwritten, mojibake, names, spans
 from strataloom.runtime import table
 
 
@@ -12,6 +12,10 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return names.variant_pairs(table(spark, sf_dir, "tokens"))
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return handwritten.not_handwritten(table(spark, sf_dir, "tokens"), table(spark, sf_dir, "upstream_files"))
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return firms.canonical_firms(*[table(spark, sf_dir, n) for n in ("firm_canonical", "tokens", "domain_map", "firm_list")])
 
@@ -28,5 +32,5 @@ def p10_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.shared_share(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p6_found, p7_found, p10_found, p10_shared)}
+QUERIES = {f.__name__: f for f in (p3_found, p4_found, p6_found, p7_found, p10_found, p10_shared)}
 ORACLE: dict[str, str] = {}
