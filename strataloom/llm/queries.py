@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataloom.llm import firms, handwritten, mojibake, names, spans
+from strataloom.llm import encode, firms, handwritten, mixing, mojibake, names, spans
 from strataloom.runtime import table
 
 
@@ -24,6 +24,18 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mojibake.restore_tokens(table(spark, sf_dir, "tokens"))
 
 
+def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode.encode(table(spark, sf_dir, "documents"))
+
+
+def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.shares(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.shared_pairs(table(spark, sf_dir, "documents"))
 
@@ -32,5 +44,5 @@ def p10_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.shared_share(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p4_found, p6_found, p7_found, p10_found, p10_shared)}
+QUERIES = {f.__name__: f for f in (p3_found, p4_found, p6_found, p7_found, p8_ids, p9_mix, p9_shares, p10_found, p10_shared)}
 ORACLE: dict[str, str] = {}
