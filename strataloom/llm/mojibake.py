@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataloom.runtime import materialise
+from strataloom.runtime import materialise, spread
 
 # The encoding pairs. UTF-8 read as a single-byte encoding, once or twice, and one single-byte encoding read as another.
 UTF8_READ_AS = ("latin-1", "cp1252", "cp437", "mac_roman", "cp1250", "cp1251")
@@ -199,7 +199,7 @@ def restore(values: DataFrame) -> DataFrame:
     row per distinct grp and value; values of any length count whole.
     """
     todo = values.where(F.col("value").rlike("[^\\x00-\\x7f]")).groupBy("grp", "value").agg(F.sum("n").alias("n"))
-    read = materialise(todo.mapInPandas(_read_batches, _READ), "readings")
+    read = materialise(spread(todo).mapInPandas(_read_batches, _READ), "readings")
     # Texts with a unit of UTF-8 whose character is of a kind that the corpus writes outright don't count as clean.
     plain = read.where("state = 0 and not spelled").groupBy("kind").agg(F.count(F.lit(1)).alias("_n"))
     kinds = plain.join(plain.agg(F.sum("_n").alias("_all")), F.col("_n") * 10_000 >= F.col("_all")).select("kind")  # at most the scripts and categories of Unicode
@@ -214,7 +214,7 @@ def restore(values: DataFrame) -> DataFrame:
     unigram = (F.col("n_char") - own + 0.01 * F.col("prior")) / (F.col("n_all") - own + 0.01 * ALPHABET)
     p = F.log(F.col("fits") * (F.greatest(F.col("n_seen") - own, F.lit(0)) + BACKOFF * unigram) / (F.greatest(F.col("n_ctx") - own, F.lit(0)) + BACKOFF))
     scored = full.groupBy("grp", "value").agg(F.collect_list(F.struct("start", "size", "state", "char", p.alias("p"))).alias("read"))  # of one text
-    return scored.mapInPandas(_label_batches, "grp string, value string, restored string, n_spans int")
+    return spread(scored).mapInPandas(_label_batches, "grp string, value string, restored string, n_spans int")
 
 
 def commit_values(tokens: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataloom.runtime import materialise
+from strataloom.runtime import materialise, spread
 
 SPAN, PREFIX = 200, 100
 #: Suffixes of one prefix that are sorted in one task's memory; characters hashed at once.
@@ -173,7 +173,7 @@ def shared_suffixes(documents: DataFrame, reps: DataFrame) -> DataFrame:
     """(prefix, n, doc_id, pos, left, right): the kept suffixes whose prefix stands in two documents or more, with their surroundings."""
     texts = documents.select("doc_id", "text").where(F.length("text") >= SPAN)
     one = texts.join(reps.where("doc_id = rep").select("doc_id"), "doc_id", "left_semi")
-    kept = materialise(one.mapInPandas(_anchor_batches, "doc_id bigint, pos int, prefix bigint"), "anchors")
+    kept = materialise(spread(one).mapInPandas(_anchor_batches, "doc_id bigint, pos int, prefix bigint"), "anchors")
     known = kept.groupBy("prefix").agg(F.min("doc_id").alias("_a"), F.max("doc_id").alias("_b"), F.count(F.lit(1)).alias("n")).where("_a < _b").select("prefix", "n")
     at = kept.join(known, "prefix")
     left = F.expr(f"substring(text, greatest(1, pos + 1 - {SPAN - PREFIX}), least(pos, {SPAN - PREFIX}))")
@@ -196,7 +196,7 @@ def repeats(documents: DataFrame, reps: DataFrame) -> DataFrame:
     """(repeat, doc_id): the documents, each standing for its copies, that share a run of SPAN characters; two or more of each repeat."""
     suffixes = materialise(shared_suffixes(documents, reps), "suffixes")
     small = suffixes.where(F.col("n") <= GROUP).select("prefix", "doc_id", "left", "right")
-    trees = small.repartition("prefix").sortWithinPartitions("prefix", "right", "doc_id").mapInPandas(_tree_batches, "repeat string, doc_id bigint")
+    trees = spread(small, "prefix").sortWithinPartitions("prefix", "right", "doc_id").mapInPandas(_tree_batches, "repeat string, doc_id bigint")
     hot = _windows(suffixes.where(F.col("n") > GROUP)).select(F.concat(F.lit("w"), "span").alias("repeat"), "doc_id").distinct()
     return trees.unionByName(hot)
 
