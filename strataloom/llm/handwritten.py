@@ -17,14 +17,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataloom.llm.spans import gram_hashes
-from strataloom.runtime import materialise
+from strataloom.runtime import materialise, spread
 
 #: Tokens of a block; hashed features; lengths of the character n-grams of code, of its shapes and of comments.
 BLOCK, DIMENSIONS = 512, 1 << 16
+#: Blocks that a worker holds as Python objects at once.
+SLICE = 256
 GRAMS, SHAPES, NOTES = (6, 9, 14), (5, 8, 12), (3, 5)
 #: Documented bounds of the fit: labelled blocks of each class, and passes over them.
 SAMPLE, PASSES = 3_000, 40
@@ -122,24 +125,30 @@ def short_names(tokens: list[str], types: list[str]) -> bool:
     return len(names) >= LEAST_NAMES and sum(len(t) <= 2 for t in names) >= SHORT_NAMES * len(names)
 
 
-def _feature_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        tokens = [[x["token_value"] or "" for x in row] for row in pdf["toks"]]
-        short = [short_names(ts, [x["token_type"] or "" for x in row]) for ts, row in zip(tokens, pdf["toks"])]
-        code = [[normal(t) for t in ts if not is_comment(t)] for ts in tokens]
-        raw = _grams([" ".join(ts) for ts in code], GRAMS, 0)
-        forms = _grams([" ".join(map(shape, ts)) for ts in code], SHAPES, 100)
-        rows = []
-        for i, path in enumerate(pdf["file_path"]):
-            first = int(pdf["block"].iat[i]) == 0
-            places = path_features(path)
-            at, x = _counts(np.concatenate([raw[i], forms[i]]))
-            paths, y = _counts(places)
-            notes = [t for t in tokens[i][:HEAD] if is_comment(t)] if first else []
-            rows.append((pdf["repo_name"].iat[i], path, int(pdf["block"].iat[i]), len(tokens[i]), literal_run(tokens[i]), short[i], at + [DIMENSIONS + p for p in paths], [*x, *(0.5 * v for v in y)], notes))
-        yield pd.DataFrame(rows, columns=["repo_name", "file_path", "block", "n", "literals", "short", "at", "x", "notes"])
+def _features_of(rows: list[dict]) -> pa.RecordBatch:
+    tokens = [[x["token_value"] or "" for x in r["toks"]] for r in rows]
+    code = [[normal(t) for t in ts if not is_comment(t)] for ts in tokens]
+    raw = _grams([" ".join(ts) for ts in code], GRAMS, 0)
+    forms = _grams([" ".join(map(shape, ts)) for ts in code], SHAPES, 100)
+    out: dict[str, list] = {c: [] for c in _COLUMNS.names}
+    for r, ts, a, b in zip(rows, tokens, raw, forms):
+        at, x = _counts(np.concatenate([a, b]))
+        paths, y = _counts(path_features(r["file_path"]))
+        notes = [t for t in ts[:HEAD] if is_comment(t)] if r["block"] == 0 else []
+        short = short_names(ts, [x["token_type"] or "" for x in r["toks"]])
+        values = (r["repo_name"], r["file_path"], r["block"], len(ts), literal_run(ts), short, at + [DIMENSIONS + p for p in paths], [*x, *(0.5 * v for v in y)], notes)
+        for c, v in zip(out, values):
+            out[c].append(v)
+    return pa.RecordBatch.from_pydict(out, schema=_COLUMNS)
 
 
+def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, SLICE):
+            yield _features_of(batch.slice(start, SLICE).to_pylist())
+
+
+_COLUMNS = pa.schema([("repo_name", pa.string()), ("file_path", pa.string()), ("block", pa.int64()), ("n", pa.int32()), ("literals", pa.int32()), ("short", pa.bool_()), ("at", pa.list_(pa.int32())), ("x", pa.list_(pa.float32())), ("notes", pa.list_(pa.string()))])
 _FEATURES = "repo_name string, file_path string, block bigint, n int, literals int, short boolean, at array<int>, x array<float>, notes array<string>"
 
 
@@ -307,7 +316,7 @@ def classify(tokens: DataFrame, upstream: DataFrame) -> DataFrame:
     without repository, path or token_index belong to no file; null token values count as empty tokens.
     """
     blocks = materialise(blocks_of(tokens), "blocks")
-    features = materialise(blocks.mapInPandas(_feature_batches, _FEATURES), "features")
+    features = materialise(spread(blocks).mapInArrow(_feature_batches, _FEATURES), "features")
     share = upstream_share(blocks, upstream)
     path = {k: F.col("file_path").rlike(PATHS[k]) for k in KINDS}
     files = features.groupBy("repo_name", "file_path").agg(F.sum("n").cast("bigint").alias("_n"), F.max("literals").alias("_literals"), F.bool_and("short").alias("_short"), F.bool_or(F.exists("notes", lambda t: t.rlike(NOTICE))).alias("noticed"))
