@@ -33,7 +33,7 @@ class InputError(ValueError):
 
 def lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(path, line_no, line), numbered from 1 within each file. Whole files: for logs and manifests, not for data."""
-    whole = spark.read.option("wholetext", True).text(paths).select("_metadata.file_path", "value")
+    whole = spark.read.text(paths, wholetext=True).select("_metadata.file_path", "value")
     cut = F.posexplode(F.split(F.regexp_replace("value", "(\r\n|\r|\n)$", ""), "\r\n|\r|\n"))
     return whole.select(F.col("file_path").alias("path"), cut.alias("_pos", "line")).select("path", (F.col("_pos") + 1).cast("bigint").alias("line_no"), "line")
 
@@ -138,7 +138,7 @@ def ledger(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
 def stamps(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(path, rows, bytes, unreadable) of stamps of key=value lines: rows missing is 0, rows that are no number are null and unreadable."""
-    whole = spark.read.option("wholetext", True).text(paths).select(F.col("_metadata.file_path").alias("path"), key_values(F.col("value")).alias("_m"))
+    whole = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("path"), key_values(F.col("value")).alias("_m"))
     said = F.try_element_at("_m", F.lit("rows"))
     rows = F.when(said.isNull(), F.lit(0).cast("bigint")).otherwise(F.trim(said).try_cast("bigint"))
     return whole.select("path", rows.alias("rows"), F.try_element_at("_m", F.lit("bytes")).try_cast("bigint").alias("bytes"), rows.isNull().alias("unreadable"))

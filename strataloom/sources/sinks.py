@@ -74,7 +74,7 @@ def assert_unique(df: DataFrame, key: str) -> None:
 
 
 def replace_table(df: DataFrame, path: str, key: str | None = None) -> DataFrame:
-    """Create or replace a stored table: written beside, then swapped in, so a reader of the old one is never cut off halfway."""
+    """Create or replace a stored table: written whole beside, then swapped in."""
     if key:
         assert_unique(df, key)
     part, old = f"{path}.part", f"{path}.old"
