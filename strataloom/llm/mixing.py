@@ -147,11 +147,11 @@ def shares(documents: DataFrame, targets: DataFrame, tokenizers: str = TOKENIZER
     mixed = materialise(mix(sizes, targets), "mix")
     by_doc = mixed.groupBy("source", "doc_id").agg(F.sum("n_tokens").alias("_t"), F.count(F.lit(1)).alias("_k"))
     used = by_doc.groupBy("source").agg(F.sum("_t").alias("mix_tokens"), F.max("_k").alias("most_repeats"))
-    total = used.agg(F.sum("mix_tokens").alias("_all"))
+    used = used.withColumn("_all", F.sum("mix_tokens").over(Window.partitionBy(F.lit(0))))  # one row a source
     have = sizes.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
     want = targets.where("source is not null").groupBy("source").agg(F.max("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
     rows = have.join(want, have["source"].eqNullSafe(want["source"]), "full").select(F.coalesce(have["source"], want["source"]).alias("source"), "n_docs", "n_tokens", "target_share", "max_repeats")
-    rows = rows.join(used.withColumnRenamed("source", "_s"), F.col("source") == F.col("_s"), "left").drop("_s").join(F.broadcast(total))  # one row
+    rows = rows.join(used.withColumnRenamed("source", "_s"), F.col("source") == F.col("_s"), "left").drop("_s")
     actual = F.coalesce(F.col("mix_tokens") / F.col("_all"), F.lit(0.0))
     zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("n_docs", "n_tokens")]
     return rows.select(

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataloom.runtime import materialise, spread
@@ -202,7 +202,8 @@ def restore(values: DataFrame) -> DataFrame:
     read = materialise(spread(todo).mapInPandas(_read_batches, _READ), "readings")
     # Texts with a unit of UTF-8 whose character is of a kind that the corpus writes outright don't count as clean.
     plain = read.where("state = 0 and not spelled").groupBy("kind").agg(F.count(F.lit(1)).alias("_n"))
-    kinds = plain.join(plain.agg(F.sum("_n").alias("_all")), F.col("_n") * 10_000 >= F.col("_all")).select("kind")  # at most the scripts and categories of Unicode
+    all_kinds = F.sum("_n").over(Window.partitionBy(F.lit(0)))  # at most the scripts and categories of Unicode
+    kinds = plain.withColumn("_all", all_kinds).where("_n * 10000 >= _all").select("kind")
     unclean = read.where(F.col("state").between(1, len(UTF8_READ_AS))).join(F.broadcast(kinds), "kind", "left_semi").select("grp", "value", F.lit(True).alias("_unclean")).distinct()
     read = read.join(unclean, ["grp", "value"], "left").withColumn("trains", (F.col("state") == 0) & F.col("_unclean").isNull()).drop("_unclean")
     seen = read.where("trains").groupBy("grp", "ctx", "low").agg(F.sum("n").alias("n_seen"))
