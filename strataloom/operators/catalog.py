@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -48,7 +49,7 @@ def split_by_schema(spark: SparkSession, paths: list[str]) -> tuple[list[str], d
     for path in paths:
         try:
             drift = compare(file_schema(spark, path), CONTRACT)
-        except PySparkException:
+        except (PySparkException, Py4JJavaError):
             unread.append(path)
             continue
         if drift:
