@@ -218,13 +218,28 @@ def restore(values: DataFrame) -> DataFrame:
     return spread(scored).mapInPandas(_label_batches, "grp string, value string, restored string, n_spans int")
 
 
+def name_values(tokens: DataFrame) -> DataFrame:
+    """(grp, value, n): the names of tokens with how many commits have them; the three fields count as one language."""
+    fields = ("author_name", "person_name", "committer_name")
+    commits = tokens.select("original_commit_sha", *fields).distinct()
+    return _values(commits.select(F.explode(F.array(*fields)).alias("value")), "name")
+
+
+def summary_values(tokens: DataFrame) -> DataFrame:
+    return _values(tokens.select("original_commit_sha", F.col("commit_summary").alias("value")).distinct(), "summary")
+
+
+def source_values(tokens: DataFrame) -> DataFrame:
+    return _values(tokens.select(F.col("source_text").alias("value")), "source")
+
+
+def _values(rows: DataFrame, group: str) -> DataFrame:
+    return rows.where(F.col("value").rlike("[^\\x00-\\x7f]")).groupBy(F.lit(group).alias("grp"), "value").agg(F.count(F.lit(1)).alias("n"))
+
+
 def commit_values(tokens: DataFrame) -> DataFrame:
-    """(grp, value, n): the texts of tokens with how many commits or tokens have them. Names of all three fields count as one language."""
-    commits = tokens.groupBy("original_commit_sha", "author_name", "person_name", "committer_name", "commit_summary").agg(F.count(F.lit(1)).alias("_n"))
-    fields = [("name", c) for c in ("author_name", "person_name", "committer_name")] + [("summary", "commit_summary")]
-    texts = commits.select(F.explode(F.array(*[F.struct(F.lit(g).alias("grp"), F.col(c).alias("value")) for g, c in fields])).alias("x")).select("x.*")
-    source = tokens.select(F.lit("source").alias("grp"), F.col("source_text").alias("value"))
-    return texts.unionByName(source).where(F.col("value").rlike("[^\\x00-\\x7f]")).groupBy("grp", "value").agg(F.count(F.lit(1)).alias("n"))
+    """(grp, value, n): the non-ASCII texts of tokens, of each kind a language of its own, with how many commits or tokens have them."""
+    return name_values(tokens).unionByName(summary_values(tokens)).unionByName(source_values(tokens))
 
 
 def restore_tokens(tokens: DataFrame) -> DataFrame:
