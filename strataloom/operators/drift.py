@@ -132,7 +132,7 @@ def catalogue(raw: DataFrame, contract: DataFrame) -> tuple[DataFrame, DataFrame
     order = materialise(file_order(raw), "file-order")
     values = fields.where("json_type <> 'void'").select("column_name", "json_type", "value").distinct()
     alias = materialise(aliases(order, footer, values, contract), "aliases")
-    return order, footer, alias, renames(order, footer, alias, contract)
+    return order, footer, alias, materialise(renames(order, footer, alias, contract), "renames")
 
 
 def renames(order: DataFrame, footer: DataFrame, alias: DataFrame, contract: DataFrame) -> DataFrame:
