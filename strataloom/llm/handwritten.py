@@ -165,12 +165,12 @@ def upstream_share(blocks: DataFrame, upstream: DataFrame) -> DataFrame:
     """(repo_name, file_path, contained): the greatest share of a file's shingles that stand in one upstream file."""
 
     def shingles(tokens: Column) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.size(tokens) - SHINGLE + 1), lambda i: F.xxhash64(F.array_join(F.slice(tokens, i, SHINGLE), "\u0001", "")))
+        return F.transform(F.sequence(F.lit(1), F.size(tokens) - SHINGLE + 1), lambda i: F.xxhash64(F.slice(tokens, i, SHINGLE)))
 
-    values = F.transform("toks", lambda t: t["token_value"])
+    values = F.transform("toks", lambda t: F.coalesce(t["token_value"], F.lit("")))
     own = blocks.where(F.size("toks") >= SHINGLE).select("repo_name", "file_path", F.explode(shingles(values)).alias("h"))
     known = upstream.where(F.size("token_values") >= SHINGLE).select(F.xxhash64("lib_name", "lib_version", "file_name").alias("up"), F.explode(shingles(F.col("token_values"))).alias("h")).distinct()
-    total = own.groupBy("repo_name", "file_path").agg(F.count(F.lit(1)).alias("_all"))
+    total = blocks.groupBy("repo_name", "file_path").agg(F.sum(F.greatest(F.size("toks") - SHINGLE + 1, F.lit(0))).alias("_all"))
     hits = own.join(known, "h").groupBy("repo_name", "file_path", "up").agg(F.count(F.lit(1)).alias("_n")).groupBy("repo_name", "file_path").agg(F.max("_n").alias("_n"))
     return hits.join(total, ["repo_name", "file_path"]).select("repo_name", "file_path", (F.col("_n") / F.col("_all")).alias("contained"))
 
@@ -247,31 +247,43 @@ class _Row:
     x: np.ndarray
     kinds: dict[str, bool]
     held: bool
+    drawn: dict[str, bool]
 
 
-def _collected(df: DataFrame) -> list[_Row]:
-    """A bounded sample as compact arrays."""
-    t = df.toArrow()
+def _sampled(features: DataFrame, evidence: DataFrame) -> list[_Row]:
+    """The drawn blocks as compact arrays: at most SAMPLE of each kind and of files without any label, least hash first.
+
+    The draw reads keys and labels alone; the features of the drawn keys are then read once.
+    """
+    files = ["repo_name", "file_path"]
+    keys = features.select(*files, "block").join(evidence, files)
+    order = F.xxhash64(*files, "block")
+    bare = ~F.greatest(*[F.col(k) for k in KINDS]) & ~F.col("noticed")
+    pools = {k: keys.where(F.col(k)) for k in KINDS} | {"none": keys.where(bare)}
+    drawn = None
+    for name, pool in pools.items():
+        one = pool.orderBy(order).limit(SAMPLE).select(*files, "block", *KINDS, F.lit(name).alias("_pool"))
+        drawn = one if drawn is None else drawn.unionByName(one)
+    held = F.pmod(F.xxhash64("repo_name"), F.lit(5)) == 0
+    each = drawn.groupBy(*files, "block", *KINDS).agg(*[F.bool_or(F.col("_pool") == n).alias(f"_{n}") for n in pools]).withColumn("held", held)
+    t = features.select(*files, "block", "at", "x").join(F.broadcast(each), [*files, "block"]).orderBy(order).toArrow()  # bounded by SAMPLE
     at, x = (t.column(c).combine_chunks() for c in ("at", "x"))
-    flags = {c: t.column(c).to_pylist() for c in (*KINDS, "held")}
-    return [_Row(at[i].values.to_numpy(zero_copy_only=False).astype(np.int64), x[i].values.to_numpy(zero_copy_only=False).astype(np.float32), {k: flags[k][i] for k in KINDS}, flags["held"][i]) for i in range(t.num_rows)]
+    flags = {c: t.column(c).to_pylist() for c in (*KINDS, "held", *(f"_{n}" for n in pools))}
+    arrays = lambda a, i, kind: a[i].values.to_numpy(zero_copy_only=False).astype(kind)
+    return [_Row(arrays(at, i, np.int64), arrays(x, i, np.float32), {k: flags[k][i] for k in KINDS}, flags["held"][i], {n: flags[f"_{n}"][i] for n in pools}) for i in range(t.num_rows)]
 
 
-def train(labelled: DataFrame, notes: DataFrame) -> dict[str, Linear]:
+def train(features: DataFrame, evidence: DataFrame, notes: DataFrame) -> dict[str, Linear]:
     """The classifiers of KINDS and of 'notice', from labelled blocks and comments.
 
     At most SAMPLE blocks of each kind, of files without any label and of comments with and without a notice are drawn, by hash,
     so what is collected is bounded; every other step reads all data. A fifth of the repositories only validates.
     """
-    order = F.xxhash64("repo_name", "file_path", "block")
-    held = F.pmod(F.xxhash64("repo_name"), F.lit(5)) == 0
-    bare = ~F.greatest(*[F.col(k) for k in KINDS]) & ~F.col("noticed")
-    pools = {k: labelled.where(F.col(k)) for k in KINDS} | {"none": labelled.where(bare)}
-    rows = {k: _collected(p.select("at", "x", *KINDS, held.alias("held")).orderBy(order).limit(SAMPLE)) for k, p in pools.items()}
+    rows = _sampled(features, evidence)
     models = {}
     for kind in KINDS:
-        labelled_rows = [r for k in KINDS for r in rows[k] if k == kind or not r.kinds[kind]]
-        clean = rows["none"]
+        labelled_rows = [r for r in rows if r.drawn[kind] or any(r.drawn[k] for k in KINDS) and not r.kinds[kind]]
+        clean = [r for r in rows if r.drawn["none"]]
         model = None
         for _ in range(2):  # what looks like the kind among files without a label is left out of the second fit
             training = [(r.at, r.x, 1 if r.kinds[kind] else -1) for r in [*labelled_rows, *clean] if not r.held]
@@ -323,9 +335,8 @@ def classify(tokens: DataFrame, upstream: DataFrame) -> DataFrame:
     files = files.join(share, ["repo_name", "file_path"], "left").na.fill(0.0, ["contained"])
     evidence = files.select("repo_name", "file_path", "noticed", path["generated"].alias("generated"), (path["minified"] | F.col("_short")).alias("minified"), ((F.col("contained") >= CONTAINED) | path["vendored"]).alias("vendored"), (F.col("_literals") >= LITERALS * F.least("_n", F.lit(BLOCK))).alias("blob"))
     evidence = materialise(evidence, "evidence")
-    labelled = features.join(evidence, ["repo_name", "file_path"])
     notes = features.select("repo_name", F.explode("notes").alias("note")).withColumn("noticed", F.col("note").rlike(NOTICE))
-    models = train(labelled, notes)
+    models = train(features, evidence, notes)
     scores = score_blocks(features, models).where(F.col("n") >= LEAST_TOKENS)
     held = scores.join(evidence.select("repo_name", "file_path", *[F.col(k).alias(f"_{k}") for k in KINDS]), ["repo_name", "file_path"])
     sure = [F.when((F.col(k) >= 0) | (F.col(f"_{k}") & (F.col(k) >= -NEAR)), F.struct(F.col(k).alias("s"), F.lit(k).alias("kind"))) for k in KINDS]
