@@ -1,10 +1,10 @@
 """Variant spellings of names typed by people (problem 3).
 
-Suffix blocking: a name is put under the suffix of each of its rarer tokens, so that initials, nicknames, reordered parts, joined
-user names and early typos meet. A suffix of too many names is not dropped but refined with other fields: the token's first
-letter, then the initial of the rest of the name. Tokens that go with very many others (given names) block only together with
-the start of the rest of the name, and names under one address or person id meet too. The pairs are compared by
-longest-common-subsequence ratio, the linked ones make components.
+Suffix blocking: a name is put under the suffix of each of its tokens, so that initials, nicknames, reordered parts, joined user
+names and early typos meet; names under one address or person id meet too. A suffix of too many names is not dropped but refined with other fields:
+the token's first letter, then the initial of the rest of the name. The pairs are compared by
+longest-common-subsequence ratio, the linked ones make components. Given names are told by the lexicon of short forms, never
+by counts, so the rule is the same at every size.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -21,8 +22,8 @@ from strataloom.llm import mojibake
 from strataloom.llm.components import components
 from strataloom.runtime import materialise, spread
 
-#: Characters of the indexed suffix; names of a block beyond which it is refined; partners that make a token a given name.
-SUFFIX, BLOCK, PARTNERS = 5, 200, 25
+#: Characters of the indexed suffix; names of a block beyond which it is refined.
+SUFFIX, BLOCK = 5, 200
 #: Longest-common-subsequence ratios that family names and given names need.
 FAMILY, GIVEN = 0.86, 0.8
 
@@ -42,6 +43,7 @@ FOLDS = {"ß": "ss", "ø": "o", "ð": "d", "đ": "d", "ł": "l", "æ": "ae", "œ
 ANY = "ʔ"
 
 _SHORT = {(s, full) for full, shorts in SHORT_FORMS.items() for s in shorts.split()}
+_LISTED = set(SHORT_FORMS) | {s for s, _ in _SHORT}
 
 
 def fold(name: str) -> str:
@@ -55,6 +57,7 @@ def tokens_of(name: str) -> list[str]:
     return list(dict.fromkeys(t for t in re.split(r"[^\w']+|_", fold(re.sub(r"\([^)]*\)|\[[^\]]*\]", " ", name))) if t))
 
 
+@lru_cache(1 << 17)
 def lcs_ratio(a: str, b: str) -> float:
     """Twice the length of the longest common subsequence over the sum of lengths; bit-parallel."""
     if not a or not b:
@@ -71,22 +74,38 @@ def lcs_ratio(a: str, b: str) -> float:
     return 2 * (len(a) - bin(v).count("1")) / (len(a) + len(b))
 
 
-def _same_given(a: str, b: str, common: set[str]) -> bool:
+@lru_cache(1 << 16)
+def _same_given(a: str, b: str) -> bool:
     if a == b or (len(a) == 1 or len(b) == 1) and a[0] == b[0]:
         return True
     if (a, b) in _SHORT or (b, a) in _SHORT or any((a, f) in _SHORT and (b, f) in _SHORT for f in SHORT_FORMS):
         return True
-    if a in common and b in common:
+    if a in SHORT_FORMS and b in SHORT_FORMS:
         return False
     near = {f for f in SHORT_FORMS if lcs_ratio(b, f) >= FAMILY and (a, f) in _SHORT or lcs_ratio(a, f) >= FAMILY and (b, f) in _SHORT}
     return bool(near) or a[0] == b[0] and lcs_ratio(a, b) >= GIVEN
 
 
-def _initials(token: str, common: set[str]) -> set[str]:
-    return {token[0]} | {f[0] for f in SHORT_FORMS if (token, f) in _SHORT} | {s[0] for s, f in _SHORT if f == token}
+@lru_cache(1 << 14)
+def _initials(token: str) -> frozenset[str]:
+    return frozenset({token[0]} | {f[0] for f in SHORT_FORMS if (token, f) in _SHORT} | {s[0] for s, f in _SHORT if f == token})
 
 
-def same_person(a: list[str], b: list[str], common: set[str], together: bool) -> bool:
+def _same_family(a: str, b: str) -> bool:
+    """Alike enough for family names; a swap of neighbours counts as one typo."""
+    if lcs_ratio(a, b) >= FAMILY:
+        return True
+    at = [i for i, (c, d) in enumerate(zip(a, b)) if c != d] if len(a) == len(b) >= SUFFIX else []
+    return len(at) == 2 and at[1] == at[0] + 1 and at[0] > 0 and a[at[0]] == b[at[1]] and a[at[1]] == b[at[0]]
+
+
+def given_of(tokens: list[str]) -> set[str]:
+    """The tokens that the lexicon lists as given names, if another is left to be the family name."""
+    listed = {t for t in tokens if t in _LISTED}
+    return listed if any(len(t) > 1 and t not in listed for t in tokens) else set()
+
+
+def same_person(a: list[str], b: list[str], together: bool) -> bool:
     """Whether two token lists can name one person; ``together``: they stand under one address or id, so the given names may differ."""
     long_a, long_b = [t for t in a if len(t) > 1], [t for t in b if len(t) > 1]
     if not long_a or not long_b:
@@ -97,19 +116,25 @@ def same_person(a: list[str], b: list[str], common: set[str], together: bool) ->
             return lcs_ratio(one, rest[0]) >= FAMILY and (one[0] == rest[0][0] or together)
         for family in (t for t in rest if len(t) >= SUFFIX):
             for given in (t for t in rest if t != family):
-                if len(one) > len(family) - 2 and any(one[0] == i and lcs_ratio(one[1:], family) >= FAMILY for i in _initials(given, common)):
+                if len(one) > len(family) - 2 and any(one[0] == i and lcs_ratio(one[1:], family) >= FAMILY for i in _initials(given)):
                     return True
         return together and any(lcs_ratio(one, t) >= FAMILY for t in rest if len(t) >= SUFFIX)
+    known_a, known_b = given_of(a), given_of(b)
     for x in long_a:
         for y in long_b:
-            if (x in common and y in common) or min(len(x), len(y)) < 4 or lcs_ratio(x, y) < FAMILY:
+            if x in known_a and y in known_b or min(len(x), len(y)) < 4 or not _same_family(x, y):
                 continue
-            given_a, given_b = [t for t in a if t != x], [t for t in b if t != y]
-            if together or any(_same_given(g, h, common) for g in _main(given_a) for h in _main(given_b)):
+            if together or _all_given(_main([t for t in a if t != x]), _main([t for t in b if t != y])):
                 return True
     return False
 
 
+def _all_given(a: list[str], b: list[str]) -> bool:
+    """Whether every given name of the shorter list has its like in the other."""
+    few, more = sorted((a, b), key=len)
+    return bool(few) and all(any(_same_given(g, h) for h in more) for g in few)
+
+
 def _main(given: list[str]) -> list[str]:
     """The given names without middle initials."""
     return [t for t in given if len(t) > 1] or given[:1]
@@ -122,7 +147,7 @@ def _token_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _compare_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        keep = [same_person(list(x), list(y), set(c) | set(d), bool(t)) for x, y, c, d, t in zip(pdf["ta"], pdf["tb"], pdf["ca"], pdf["cb"], pdf["together"])]
+        keep = [same_person(list(x), list(y), bool(t)) for x, y, t in zip(pdf["ta"], pdf["tb"], pdf["together"])]
         yield pdf.loc[keep, ["a", "b"]]
 
 
@@ -143,15 +168,13 @@ def _refined(keyed: DataFrame) -> DataFrame:
 
 
 def candidate_pairs(named: DataFrame, beside: DataFrame) -> DataFrame:
-    """(a, b, together) with a < b, each pair once, from (name, tokens, common) and ``beside`` (name, address, person)."""
-    t = named.select("name", "tokens", "common", F.explode("tokens").alias("t"))
+    """(a, b, together) with a < b, each pair once, from (name, tokens) and ``beside`` (name, address, person)."""
+    t = named.select("name", "tokens", F.explode("tokens").alias("t"))
     rest = F.filter("tokens", lambda x: x != F.col("t"))
-    family = t.where(~F.array_contains("common", F.col("t")) & (F.length("t") >= SUFFIX)).select(
+    suffix = t.where(F.length("t") >= SUFFIX).select(
         F.concat(F.lit("s"), F.right("t", F.lit(SUFFIX))).alias("key"), F.substring("t", 1, 1).alias("finer"), F.array_join(F.array_sort(F.transform(rest, lambda x: F.substring(x, 1, 1))), "").alias("finest"), "name"
     )
-    given = t.where(F.array_contains("common", F.col("t"))).select("name", "t", F.explode(rest).alias("o")).where(F.length("o") >= SUFFIX)
-    given = given.select(F.concat(F.lit("g"), "t", F.lit("|"), F.substring("o", 1, 3)).alias("key"), F.substring("o", 4, 2).alias("finer"), F.right("o", F.lit(2)).alias("finest"), "name")
-    blocks = _refined(family.union(given)).withColumn("together", F.lit(False))
+    blocks = _refined(suffix).withColumn("together", F.lit(False))
     shared = beside.join(named.select("name", F.array_max(F.transform("tokens", lambda x: F.length(x))).alias("_n"), F.element_at("tokens", 1).alias("_t")), "name")
     sides = [shared.where(f"{c} is not null").select(F.concat(F.lit(f"{c}|"), c).alias("key"), F.substring("_t", 1, 1).alias("finer"), F.substring("_t", 2, 2).alias("finest"), "name") for c in ("address", "person")]
     blocks = blocks.union(_refined(sides[0].union(sides[1])).withColumn("together", F.lit(True)))
@@ -169,14 +192,9 @@ def link_names(tokens: DataFrame) -> DataFrame:
     beside = materialise(spellings(tokens), "spellings")
     names = beside.select("name").distinct()
     garbled = mojibake.restore(mojibake.name_values(tokens)).select(F.col("value").alias("name"), "restored")
-    plain = materialise(spread(names.join(garbled, "name", "left")).mapInPandas(_token_batches, "name string, tokens array<string>"), "name-tokens")
-    t = plain.select("name", "tokens", F.explode("tokens").alias("t"))
-    others = t.select("t", F.explode("tokens").alias("o")).where("t <> o and length(o) > 1 and length(t) > 1").distinct()
-    common = others.groupBy("t").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= PARTNERS).select("t")
-    flagged = t.join(common, "t").groupBy("name").agg(F.collect_set("t").alias("common"))
-    named = materialise(plain.join(flagged, "name", "left").withColumn("common", F.coalesce("common", F.array().cast("array<string>"))), "names")
+    named = materialise(spread(names.join(garbled, "name", "left")).mapInPandas(_token_batches, "name string, tokens array<string>"), "names")
     pairs = candidate_pairs(named, beside)
-    a, b = (named.select(F.col("name").alias(x), F.col("tokens").alias(f"t{x}"), F.col("common").alias(f"c{x}")) for x in "ab")
+    a, b = (named.select(F.col("name").alias(x), F.col("tokens").alias(f"t{x}")) for x in "ab")
     links = spread(pairs.join(a, "a").join(b, "b")).mapInPandas(_compare_batches, "a string, b string")
     return components(links).select(F.col("id").alias("name"), F.col("component").alias("person"))
 

@@ -72,3 +72,21 @@ def test_components_against_union_find(spark):
             parent[max(a, b)] = min(a, b)
     got = {r["id"]: r["component"] for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == {x: find(x) for x in parent}
+
+
+def linked(spark, names):
+    return {tuple(r) for r in N.variant_pairs(tokens(spark, [[(n, f"{i}@x")] for i, n in enumerate(names)])).collect()}
+
+
+def stems(n, seed, size=4):
+    r = random.Random(seed)
+    return list(dict.fromkeys("".join(r.choice("bdfgklmnprstvz") + r.choice("aeiou") for _ in range(size)).title() for _ in range(n)))
+
+
+def test_a_common_given_name_changes_no_link(spark):
+    pairs = {("Thomas Abcdefg", "Thomas Abdcefg"), ("Francisco Golidupen", "Paco Golidupen")}
+    apart = ["Francois Golidupen"]
+    planted = [n for p in pairs for n in p] + apart
+    many = [f"{g} {s}" for g in ("Thomas", "Francisco") for s in stems(40, 8)]
+    for names in (planted, planted + many):
+        assert {p for p in linked(spark, names) if set(p) & set(planted)} == pairs
