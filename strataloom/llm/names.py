@@ -1,8 +1,8 @@
 """Variant spellings of names typed by people (problem 3).
 
 Suffix blocking: a name is put under the suffix of each of its tokens, so that initials, nicknames, reordered parts, joined user
-names and early typos meet; names under one address or person id meet too. A suffix of too many names is not dropped but refined with other fields:
-the token's first letter, then the initial of the rest of the name. The pairs are compared by
+names and early typos meet; names under one address or person id meet too. A block of too many names is cut into pieces, and
+every two of its pieces are compared, so a pair meets whatever the block's size. The pairs are compared by
 longest-common-subsequence ratio, the linked ones make components. Given names are told by the lexicon of short forms, never
 by counts, so the rule is the same at every size.
 """
@@ -14,6 +14,7 @@ import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,8 +23,8 @@ from strataloom.llm import mojibake
 from strataloom.llm.components import components
 from strataloom.runtime import materialise, spread
 
-#: Characters of the indexed suffix; names of a block beyond which it is refined.
-SUFFIX, BLOCK = 5, 200
+#: Characters of the indexed suffix; names of a piece of a block; names of a piece from which pairs are sifted by letter counts first.
+SUFFIX, BLOCK, SIFTED = 5, 200, 12
 #: Longest-common-subsequence ratios that family names and given names need.
 FAMILY, GIVEN = 0.86, 0.8
 
@@ -145,10 +146,61 @@ def _token_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"name": pdf["name"], "tokens": [tokens_of(r) if isinstance(r, str) and r else tokens_of(n) for n, r in zip(pdf["name"], pdf["restored"])]})
 
 
+def _bound(a: list[str], b: list[str]) -> np.ndarray:
+    """For every two tokens, whether their letter counts allow a longest common subsequence that links them."""
+    letters = {c: i for i, c in enumerate(dict.fromkeys("".join(a)))}
+    most = np.zeros((len(a), len(b)), np.int16)
+    sides = []
+    for ts in (a, b):
+        n = np.zeros((len(letters), len(ts)), np.int16)
+        for j, t in enumerate(ts):
+            for c in t:
+                if c in letters:
+                    n[letters[c], j] += 1
+        sides.append(n)
+    for x, y in zip(*sides):
+        most += np.minimum.outer(x, y)
+    most += np.add.outer([t.count(ANY) for t in a], [t.count(ANY) for t in b]).astype(np.int16)
+    sizes = np.add.outer([len(t) for t in a], [len(t) for t in b])
+    # A joined user name is compared without its first letter, a swap of neighbours keeps all letters.
+    return 2 * most >= FAMILY * (sizes - 1)
+
+
+def _sifted(left: list[dict], right: list[dict]) -> Iterator[tuple[dict, dict]]:
+    """The pairs of two pieces that ``same_person`` can link: two tokens, not both given names, with letters enough in common."""
+    if len(left) * len(right) < SIFTED * SIFTED:
+        yield from ((x, y) for x in left for y in right)
+        return
+    flat = []
+    for side in (left, right):
+        given = [given_of(x["tokens"]) if len(x["tokens"]) > 1 else set() for x in side]
+        flat.append([(i, t, t in g) for i, (x, g) in enumerate(zip(side, given)) for t in x["tokens"] if len(t) > 1])
+    if not flat[0] or not flat[1]:
+        return
+    own = {}
+    for k, side in enumerate(flat):
+        own[k] = list(dict.fromkeys(t for _, t, _ in side))
+    fits = _bound(own[0], own[1])
+    at = [{t: i for i, t in enumerate(own[k])} for k in (0, 1)]
+    fits = fits[np.ix_([at[0][t] for _, t, _ in flat[0]], [at[1][t] for _, t, _ in flat[1]])]
+    fits &= ~np.logical_and.outer([g for *_, g in flat[0]], [g for *_, g in flat[1]])
+    i, j = np.nonzero(fits)
+    of = [np.array([n for n, *_ in side]) for side in flat]
+    for k in np.unique(of[0][i] * len(right) + of[1][j]):
+        yield left[k // len(right)], right[k % len(right)]
+
+
 def _compare_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        keep = [same_person(list(x), list(y), bool(t)) for x, y, t in zip(pdf["ta"], pdf["tb"], pdf["together"])]
-        yield pdf.loc[keep, ["a", "b"]]
+        links = set()
+        for names, same, together in zip(pdf["names"], pdf["same"], pdf["together"]):
+            names = [{"name": x["name"], "tokens": list(x["tokens"]), "right": x["right"]} for x in names]
+            left, right = (names, names) if same else ([x for x in names if not x["right"]], [x for x in names if x["right"]])
+            for x, y in _sifted(left, right):
+                pair = (min(x["name"], y["name"]), max(x["name"], y["name"]))
+                if (x["name"] < y["name"] or not same) and pair not in links and same_person(x["tokens"], y["tokens"], bool(together)):
+                    links.add(pair)
+        yield pd.DataFrame(sorted(links), columns=["a", "b"])
 
 
 def spellings(tokens: DataFrame) -> DataFrame:
@@ -159,27 +211,23 @@ def spellings(tokens: DataFrame) -> DataFrame:
     return rows.select(x.alias("x")).select("x.*").where("name is not null").distinct()
 
 
-def _refined(keyed: DataFrame) -> DataFrame:
-    """(key, name) from (key, finer, finest, name): the keys of too many names made finer, twice if needed, none dropped."""
-    for column in ("finer", "finest"):
-        sizes = keyed.groupBy(F.col("key").alias("_key")).agg(F.count_distinct("name").alias("_n"))
-        keyed = keyed.join(sizes, F.col("key") == F.col("_key")).withColumn("key", F.when(F.col("_n") > BLOCK, F.concat_ws("\u0001", "key", column)).otherwise(F.col("key"))).drop("_key", "_n")
-    return keyed.select("key", "name").distinct()
+def blocks_of(named: DataFrame, beside: DataFrame) -> DataFrame:
+    """(key, together, name) from (name, tokens) and ``beside`` (name, address, person): each name under the suffixes of its tokens, its addresses and person ids."""
+    suffix = named.select(F.explode("tokens").alias("t"), "name").where(F.length("t") >= SUFFIX).select(F.concat(F.lit("s|"), F.right("t", F.lit(SUFFIX))).alias("key"), F.lit(False).alias("together"), "name")
+    shared = beside.join(named.select("name"), "name")
+    sides = [shared.where(f"{c} is not null").select(F.concat(F.lit(f"{c}|"), c).alias("key"), F.lit(True).alias("together"), "name") for c in ("address", "person")]
+    return suffix.union(sides[0]).union(sides[1]).distinct()
 
 
-def candidate_pairs(named: DataFrame, beside: DataFrame) -> DataFrame:
-    """(a, b, together) with a < b, each pair once, from (name, tokens) and ``beside`` (name, address, person)."""
-    t = named.select("name", "tokens", F.explode("tokens").alias("t"))
-    rest = F.filter("tokens", lambda x: x != F.col("t"))
-    suffix = t.where(F.length("t") >= SUFFIX).select(
-        F.concat(F.lit("s"), F.right("t", F.lit(SUFFIX))).alias("key"), F.substring("t", 1, 1).alias("finer"), F.array_join(F.array_sort(F.transform(rest, lambda x: F.substring(x, 1, 1))), "").alias("finest"), "name"
-    )
-    blocks = _refined(suffix).withColumn("together", F.lit(False))
-    shared = beside.join(named.select("name", F.array_max(F.transform("tokens", lambda x: F.length(x))).alias("_n"), F.element_at("tokens", 1).alias("_t")), "name")
-    sides = [shared.where(f"{c} is not null").select(F.concat(F.lit(f"{c}|"), c).alias("key"), F.substring("_t", 1, 1).alias("finer"), F.substring("_t", 2, 2).alias("finest"), "name") for c in ("address", "person")]
-    blocks = blocks.union(_refined(sides[0].union(sides[1])).withColumn("together", F.lit(True)))
-    left, right = blocks.withColumnRenamed("name", "a"), blocks.select("key", F.col("name").alias("b"))
-    return left.join(right, "key").where("a < b").groupBy("a", "b").agg(F.max("together").alias("together"))
+def pieces(blocks: DataFrame) -> DataFrame:
+    """(key, together, i, j, name, right) from (key, together, name): the names of every two pieces i <= j of a block; ``right``: of piece j > i.
+
+    A block of up to BLOCK names is one piece; of a larger one every piece meets every other, so none of its pairs is left out.
+    """
+    sizes = blocks.groupBy(F.col("key").alias("_key")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_key", F.ceil(F.col("_n") / BLOCK).cast("int").alias("_k"))
+    cut = blocks.join(sizes, F.col("key") == F.col("_key")).withColumn("_p", F.pmod(F.xxhash64("name"), F.col("_k")).cast("int"))
+    met = cut.select("key", "together", "name", "_p", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)).alias("_q"))
+    return met.select("key", "together", F.least("_p", "_q").alias("i"), F.greatest("_p", "_q").alias("j"), "name", (F.col("_p") > F.col("_q")).alias("right"))
 
 
 def link_names(tokens: DataFrame) -> DataFrame:
@@ -193,9 +241,9 @@ def link_names(tokens: DataFrame) -> DataFrame:
     names = beside.select("name").distinct()
     garbled = mojibake.restore(mojibake.name_values(tokens)).select(F.col("value").alias("name"), "restored")
     named = materialise(spread(names.join(garbled, "name", "left")).mapInPandas(_token_batches, "name string, tokens array<string>"), "names")
-    pairs = candidate_pairs(named, beside)
-    a, b = (named.select(F.col("name").alias(x), F.col("tokens").alias(f"t{x}")) for x in "ab")
-    links = spread(pairs.join(a, "a").join(b, "b")).mapInPandas(_compare_batches, "a string, b string")
+    met = pieces(materialise(blocks_of(named, beside), "blocks")).join(named, "name")
+    units = met.groupBy("key", "together", "i", "j").agg(F.collect_list(F.struct("name", "tokens", "right")).alias("names"))
+    links = spread(units.select("names", (F.col("i") == F.col("j")).alias("same"), "together")).mapInPandas(_compare_batches, "a string, b string")
     return components(links).select(F.col("id").alias("name"), F.col("component").alias("person"))
 
 

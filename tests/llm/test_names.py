@@ -90,3 +90,25 @@ def test_a_common_given_name_changes_no_link(spark):
     many = [f"{g} {s}" for g in ("Thomas", "Francisco") for s in stems(40, 8)]
     for names in (planted, planted + many):
         assert {p for p in linked(spark, names) if set(p) & set(planted)} == pairs
+
+
+def test_a_block_of_more_names_loses_no_pair(spark):
+    pairs = {("Bill Smithers", "William Smithers"), ("John Q Smithers", "John Smithers"), ("Yolanda Smithers", "Yolanda Tmithers")}
+    planted = [n for p in pairs for n in p]
+    for n in (20, 460):
+        assert pairs <= linked(spark, planted + [f"{s} Smithers" for s in stems(n, 5)])
+
+
+def test_an_address_of_many_names_loses_no_pair(spark):
+    names = ["Rosalind Vesfenvesme", "Mopsy Vesfenvesme"] + [f"{a} {b}" for a, b in zip(stems(260, 6), stems(260, 7, 5))]
+    got = {tuple(r) for r in N.variant_pairs(tokens(spark, [[(n, "noreply@x")] for n in names])).collect()}
+    assert ("Mopsy Vesfenvesme", "Rosalind Vesfenvesme") in got
+
+
+def test_sifting_leaves_out_no_linked_pair():
+    r = random.Random(2)
+    word = lambda: "".join(r.choice("abcdeʔ" if r.random() < 0.1 else "abcde") for _ in range(r.randint(1, 8)))
+    side = [{"name": str(i), "tokens": list(dict.fromkeys(r.choice(["bill", "william", word()]) for _ in range(r.randint(1, 3))))} for i in range(150)]
+    kept = {(x["name"], y["name"]) for x, y in N._sifted(side, side)}
+    said = {(x["name"], y["name"], t) for x in side for y in side for t in (False, True) if N.same_person(x["tokens"], y["tokens"], t)}
+    assert said and {(a, b) for a, b, _ in said} <= kept
