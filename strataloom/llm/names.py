@@ -93,7 +93,9 @@ def _initials(token: str) -> frozenset[str]:
 
 
 def _same_family(a: str, b: str) -> bool:
-    """Alike enough for family names; a swap of neighbours counts as one typo."""
+    """Alike enough for family names; a swap of neighbours counts as one typo, tokens below 4 letters must be equal."""
+    if a == b or min(len(a), len(b)) < 4:
+        return a == b
     if lcs_ratio(a, b) >= FAMILY:
         return True
     at = [i for i, (c, d) in enumerate(zip(a, b)) if c != d] if len(a) == len(b) >= SUFFIX else []
@@ -123,9 +125,10 @@ def same_person(a: list[str], b: list[str], together: bool) -> bool:
     known_a, known_b = given_of(a), given_of(b)
     for x in long_a:
         for y in long_b:
-            if x in known_a and y in known_b or min(len(x), len(y)) < 4 or not _same_family(x, y):
+            if x in known_a and y in known_b or not _same_family(x, y):
                 continue
-            if together or _all_given(_main([t for t in a if t != x]), _main([t for t in b if t != y])):
+            # A short token beside two others can be a particle or what decoding left of a name.
+            if together and (min(len(x), len(y)) >= 4 or len(a) == len(b) == 2) or _all_given(_main([t for t in a if t != x]), _main([t for t in b if t != y])):
                 return True
     return False
 
@@ -212,8 +215,11 @@ def spellings(tokens: DataFrame) -> DataFrame:
 
 
 def blocks_of(named: DataFrame, beside: DataFrame) -> DataFrame:
-    """(key, together, name) from (name, tokens) and ``beside`` (name, address, person): each name under the suffixes of its tokens, its addresses and person ids."""
-    suffix = named.select(F.explode("tokens").alias("t"), "name").where(F.length("t") >= SUFFIX).select(F.concat(F.lit("s|"), F.right("t", F.lit(SUFFIX))).alias("key"), F.lit(False).alias("together"), "name")
+    """(key, together, name) from (name, tokens) and ``beside`` (name, address, person): each name under the suffixes of its tokens, the whole token where it is shorter, its addresses and person ids.
+
+    A single letter is an initial and no key.
+    """
+    suffix = named.select(F.explode("tokens").alias("t"), "name").where(F.length("t") > 1).select(F.concat(F.lit("s|"), F.right("t", F.lit(SUFFIX))).alias("key"), F.lit(False).alias("together"), "name")
     shared = beside.join(named.select("name"), "name")
     sides = [shared.where(f"{c} is not null").select(F.concat(F.lit(f"{c}|"), c).alias("key"), F.lit(True).alias("together"), "name") for c in ("address", "person")]
     return suffix.union(sides[0]).union(sides[1]).distinct()

@@ -112,3 +112,9 @@ def test_sifting_leaves_out_no_linked_pair():
     kept = {(x["name"], y["name"]) for x, y in N._sifted(side, side)}
     said = {(x["name"], y["name"], t) for x in side for y in side for t in (False, True) if N.same_person(x["tokens"], y["tokens"], t)}
     assert said and {(a, b) for a, b, _ in said} <= kept
+
+
+def test_short_names_have_blocks_of_their_own(spark):
+    people = [["Alex Wong", "Wong, Alex", "Alexander Wong"], ["A. Lee", "Ann Lee", "LEE Ann"], ["J. Kim", "James Kim", "Jim Kim"]]
+    lone = ["Bob Lee", "Jan de Boer", "Jan de Vries", "Ann Kin"]
+    assert linked(spark, [n for p in people for n in p] + lone) == {(a, b) for p in people for a in p for b in p if a < b}
