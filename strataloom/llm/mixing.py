@@ -84,7 +84,7 @@ def plan(sources: list[Source], budget: float | None = None, wanted_entropy: flo
             low, high = (mid, high) if fits(mid) else (low, mid)
         a = low
     for s, w in zip(live, bent(live, a)):
-        s.budget = min(w * budget, s.tokens * s.repeats)
+        s.budget = min(w * budget, float(s.tokens * s.repeats))
     return budget, a
 
 
@@ -102,7 +102,7 @@ def supply(sizes: DataFrame, targets: DataFrame) -> list[Source]:
     return [Source(r["source"], r["n_tokens"] or 0, r["target_share"] or 0.0, r["max_repeats"] or 0) for r in got]
 
 
-def mix(sizes: DataFrame, targets: DataFrame, budget: float | None = None, seed: int = SEED) -> DataFrame:
+def mix(sizes: DataFrame, targets: DataFrame, budget: float | None = None, seed: int = SEED, wanted_entropy: float | None = None) -> DataFrame:
     """(doc_id, source, repeat_no, n_tokens, order_key): every occurrence of a document in the mix; sorted by order_key it is shuffled.
 
     ``sizes`` (doc_id, source, n_tokens). A document occurs at most max_repeats times. The documents of a source that ``targets``
@@ -110,7 +110,7 @@ def mix(sizes: DataFrame, targets: DataFrame, budget: float | None = None, seed:
     """
     spark = sizes.sparkSession
     sources = supply(sizes, targets)
-    plan(sources, budget)
+    plan(sources, budget, wanted_entropy)
     rows = [(s.name, int(s.budget // s.tokens), s.budget - (s.budget // s.tokens) * s.tokens) for s in sources if s.budget > 0]
     budgets = F.broadcast(spark.createDataFrame(rows, "source string, whole int, rest double"))  # one row a source
     docs = sizes.join(budgets, "source").withColumn("block", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(BLOCKS)))
@@ -136,6 +136,12 @@ def mixture(documents: DataFrame, targets: DataFrame, tokenizers: str = TOKENIZE
     return mix(materialise(sized(documents, tokenizers), "sizes"), targets)
 
 
+def full_mixture(documents: DataFrame, targets: DataFrame, tokenizers: str = TOKENIZERS) -> DataFrame:
+    """``mix`` of documents with as many tokens as the listed sources have together: the targets are bent where a source would be repeated too often."""
+    sizes = materialise(sized(documents, tokenizers), "sizes")
+    return mix(sizes, targets, budget=float(sum(s.tokens for s in supply(sizes, targets) if s.target > 0 and s.repeats > 0)))
+
+
 def shares(documents: DataFrame, targets: DataFrame, tokenizers: str = TOKENIZERS) -> DataFrame:
     """One row per source of ``documents`` or ``targets``: what there is, what is wanted and what the mix has.
 

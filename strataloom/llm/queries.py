@@ -32,6 +32,10 @@ def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
 
 
+def p9_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.full_mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
+
+
 def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.shares(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
 
@@ -44,5 +48,5 @@ def p10_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.shared_share(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p4_found, p6_found, p7_found, p8_ids, p9_mix, p9_shares, p10_found, p10_shared)}
+QUERIES = {f.__name__: f for f in (p3_found, p4_found, p6_found, p7_found, p8_ids, p9_mix, p9_full, p9_shares, p10_found, p10_shared)}
 ORACLE: dict[str, str] = {}

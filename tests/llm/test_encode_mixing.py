@@ -118,3 +118,20 @@ def test_shares_report_every_source(spark):
     assert got["b"]["most_repeats"] <= 3 and got["a"]["most_repeats"] == 1 and got["gone"]["mix_tokens"] == 0 and got["other"]["actual_share"] == 0
     assert math.isclose(sum(r["actual_share"] for r in got.values()), 1)
     assert got["a"]["actual_share"] == pytest.approx(2 / 3, abs=0.08)
+
+
+def test_a_full_mix_bends_the_targets(spark):
+    docs = spark.createDataFrame([(i, f"word number {i} and more", s) for i, s in enumerate(["a"] * 900 + ["b"] * 20 + ["other"] * 9)], "doc_id bigint, text string, source string")
+    targets = spark.createDataFrame([("a", 0.6, 1), ("b", 0.4, 3)], "source string, target_share double, max_repeats bigint")
+    got = X.full_mixture(docs, targets).collect()
+    n = {s: sum(r["n_tokens"] for r in got if r["source"] == s) for s in "ab"}
+    one = {s: sum(r["n_tokens"] for r in X.mixture(docs, targets).collect() if r["source"] == s) for s in "ab"}
+    assert max(r["repeat_no"] for r in got if r["source"] == "b") == 3 and max(r["repeat_no"] for r in got if r["source"] == "a") == 1
+    assert n["b"] / sum(n.values()) < 0.1 and one["b"] / sum(one.values()) == pytest.approx(0.4, abs=0.05) and sum(n.values()) > 5 * sum(one.values())
+
+
+def test_mix_takes_an_entropy(spark):
+    sizes = spark.createDataFrame([(i, s, 1) for i, s in enumerate(["a"] * 4000 + ["b"] * 1000)], "doc_id bigint, source string, n_tokens bigint")
+    targets = spark.createDataFrame([("a", 0.5, 9), ("b", 0.5, 9)], "source string, target_share double, max_repeats bigint")
+    got = X.mix(sizes, targets, budget=2000, wanted_entropy=0.6).groupBy("source").agg(E.F.sum("n_tokens")).collect()
+    assert X.entropy([r[1] / 2000 for r in got]) == pytest.approx(0.6, abs=0.01)
