@@ -3,7 +3,7 @@
 A catalogue of column lifespans: the keys and JSON types of every file's records are its footer, presence is followed through
 the files of one feed with ``lag`` and islands, and the starts and endings are logged. An alias table links a name outside the
 contract to the contract column that it replaced: they are never in one file, one starts where the other ends, and they hold
-the same values. The casts of the consistent table are generated from that table.
+the same values, whatever their JSON type. The casts of the consistent table are generated from that table.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from strataloom.runtime import materialise
 #: file where that column is missing for the first time.
 MIN_APART, MIN_VALUES, MIN_HANDOVER = 0.9, 0.3, 0.5
 #: Where few values are known, shares of shapes (values with letters and digits replaced) and of starts that stand in for them.
+#: A name of another type than the column's needs SURE_HANDOVER of its starts to be the only one in a file that lacks only that column.
 MIN_SHAPES, SURE_HANDOVER = 0.9, 0.9
 
 FEED = "^(.*?)-\\d{8}-[^-]*$"
@@ -89,13 +90,14 @@ def aliases(order: DataFrame, footer: DataFrame, values: DataFrame, contract: Da
     n_files = new.groupBy("new_name").agg(F.count(F.lit(1)).alias("n_files"))
     together = new.join(old, "file_name").groupBy("new_name", "column_name").agg(F.count(F.lit(1)).alias("n_together"))
     # Values: names outside the contract against the contract columns' values, each pair of column and value once.
-    keyed = values.withColumn("_h", F.xxhash64("json_type", "value"))
+    text = F.regexp_replace("value", '^"|"$', "")  # a renamed column may come with another JSON type
+    keyed = values.withColumn("_h", F.xxhash64(text))
     new_v = keyed.join(names, keyed["column_name"] == names["_c"], "left_anti").select(F.col("column_name").alias("new_name"), "_h").distinct()
-    old_v = keyed.join(names, (keyed["column_name"] == names["_c"]) & (keyed["json_type"] == names["column_type"])).select("column_name", "_h").distinct()
-    shape = F.regexp_replace(F.regexp_replace(F.regexp_replace("value", "\\p{Lu}+", "A"), "\\p{Ll}+", "a"), "\\p{Nd}+", "9")
-    shaped = keyed.select("column_name", "json_type", F.xxhash64("json_type", shape).alias("_s")).distinct()
+    old_v = keyed.join(names, keyed["column_name"] == names["_c"], "left_semi").select("column_name", "_h").distinct()
+    shape = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, "\\p{Lu}+", "A"), "\\p{Ll}+", "a"), "\\p{Nd}+", "9")
+    shaped = keyed.select("column_name", F.xxhash64(shape).alias("_s")).distinct()
     new_s = shaped.join(names, shaped["column_name"] == names["_c"], "left_anti").select(F.col("column_name").alias("new_name"), "_s").distinct()
-    old_s = shaped.join(names, (shaped["column_name"] == names["_c"]) & (shaped["json_type"] == names["column_type"])).select("column_name", "_s").distinct()
+    old_s = shaped.join(names, shaped["column_name"] == names["_c"], "left_semi").select("column_name", "_s").distinct()
     n_shapes = new_s.groupBy("new_name").agg(F.count(F.lit(1)).alias("n_shapes"))
     alike = new_s.join(old_s, "_s").groupBy("new_name", "column_name").agg(F.count(F.lit(1)).alias("n_alike"))
     n_values = new_v.groupBy("new_name").agg(F.count(F.lit(1)).alias("n_values"))
@@ -109,20 +111,27 @@ def aliases(order: DataFrame, footer: DataFrame, values: DataFrame, contract: Da
     n_begins = begins.groupBy("new_name").agg(F.count(F.lit(1)).alias("n_begins"))
     ends = begun.where("_next is null or _next > file_pos + 1").select("feed", "column_name", (F.col("file_pos") + 1).alias("_at"))
     ends = ends.join(names, ends["column_name"] == names["_c"], "left_semi")
-    handed = begins.join(ends, ["feed", "_at"]).groupBy("new_name", "column_name").agg(F.count(F.lit(1)).alias("n_handed"))
+    # Alone: no other name outside the contract starts there and no other contract column ends.
+    alone = begins.groupBy("feed", "_at").agg(F.count(F.lit(1)).alias("_b")).join(ends.groupBy("feed", "_at").agg(F.count(F.lit(1)).alias("_e")), ["feed", "_at"]).select("feed", "_at", ((F.col("_b") == 1) & (F.col("_e") == 1)).alias("_alone"))
+    handed = begins.join(ends, ["feed", "_at"]).join(alone, ["feed", "_at"]).groupBy("new_name", "column_name").agg(F.count(F.lit(1)).alias("n_handed"), F.sum(F.col("_alone").cast("int")).alias("n_alone"))
+    # Retyped: the name never holds the column's contract type.
+    held = footer.where("json_type <> 'void'").select(F.col("column_name").alias("new_name"), "json_type").distinct().groupBy("new_name").agg(F.collect_set("json_type").alias("_types"))
+    wanted = names.select(F.col("_c").alias("column_name"), "column_type").groupBy("column_name").agg(F.collect_set("column_type").alias("_wanted"))
+    both = alike.select("new_name", "column_name").union(handed.select("new_name", "column_name")).distinct()
     scored = (
-        alike.join(n_shapes, "new_name").join(shared, ["new_name", "column_name"], "left").join(n_values, "new_name").join(n_files, "new_name").join(together, ["new_name", "column_name"], "left").join(n_begins, "new_name", "left").join(handed, ["new_name", "column_name"], "left")
+        both.join(alike, ["new_name", "column_name"], "left").join(n_shapes, "new_name").join(held, "new_name").join(wanted, "column_name").join(shared, ["new_name", "column_name"], "left").join(n_values, "new_name").join(n_files, "new_name").join(together, ["new_name", "column_name"], "left").join(n_begins, "new_name", "left").join(handed, ["new_name", "column_name"], "left")
         .select(
             "new_name", "column_name",
             (1 - F.coalesce("n_together", F.lit(0)) / F.col("n_files")).alias("apart"),
             (F.coalesce("n_shared", F.lit(0)) / F.col("n_values")).alias("known"),
-            (F.col("n_alike") / F.col("n_shapes")).alias("alike"),
+            (F.coalesce("n_alike", F.lit(0)) / F.col("n_shapes")).alias("alike"),
             F.when(F.col("n_begins") > 0, F.coalesce("n_handed", F.lit(0)) / F.col("n_begins")).alias("handover"),
+            (~F.arrays_overlap("_types", "_wanted") & (F.coalesce("n_alone", F.lit(0)) >= SURE_HANDOVER * F.col("n_begins")) & (F.col("n_begins") > 0)).alias("_retyped"),
         )
-        .where((F.col("apart") >= MIN_APART) & (((F.col("known") >= MIN_VALUES) & (F.coalesce("handover", F.lit(1.0)) >= MIN_HANDOVER)) | ((F.col("alike") >= MIN_SHAPES) & (F.col("handover") >= SURE_HANDOVER))))
+        .where((F.col("apart") >= MIN_APART) & (F.coalesce("_retyped", F.lit(False)) | ((F.col("known") >= MIN_VALUES) & (F.coalesce("handover", F.lit(1.0)) >= MIN_HANDOVER)) | ((F.col("alike") >= MIN_SHAPES) & (F.col("handover") >= SURE_HANDOVER))))
     )
     best = Window.partitionBy("new_name").orderBy(F.col("known").desc(), F.col("handover").desc(), "column_name")
-    return scored.withColumn("_rank", F.row_number().over(best)).where("_rank = 1").drop("_rank")
+    return scored.withColumn("_rank", F.row_number().over(best)).where("_rank = 1").drop("_rank", "_retyped")
 
 
 def catalogue(raw: DataFrame, contract: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:

@@ -79,3 +79,11 @@ def test_empty_tables(spark, contract):
     none = raw(spark, {"f-20240101-1.jsonl": [FULL]}).limit(0)
     assert D.differences(none, contract).count() == 0 and D.consistent(none, contract).count() == 0 and D.change_log(none, contract).count() == 0
     assert D.consistent(none, contract).columns == ["record_id", *(c for _, c, _ in CONTRACT)]
+
+
+def test_a_rename_with_another_type(spark, contract):
+    old = [dict(FULL, n=100 + i) for i in range(5)]
+    for value in (lambda n: str(n), lambda n: f"size {n}"):
+        new = [{("count" if k == "n" else k): value(v) if k == "n" else v for k, v in r.items()} for r in old]
+        got = {tuple(r) for r in D.differences(raw(spark, {"f-20240101-1.jsonl": old, "f-20240102-2.jsonl": new}), contract).collect()}
+        assert got == {("f-20240102-2.jsonl", "renamed", "n", "count")}
