@@ -31,8 +31,8 @@ SLICE = 256
 GRAMS, SHAPES, NOTES = (6, 9, 14), (5, 8, 12), (3, 5)
 #: Documented bounds of the fit: labelled blocks of each class, and passes over them.
 SAMPLE, PASSES = 3_000, 40
-#: Tokens that a file needs; tokens from its start on whose comments can be notices; shingle length and share that make a known upstream file.
-LEAST_TOKENS, HEAD, SHINGLE, CONTAINED = 24, 16, 5, 0.4
+#: Tokens that a file needs; shingle length and share that make a known upstream file.
+LEAST_TOKENS, SHINGLE, CONTAINED = 24, 5, 0.4
 #: Share of tokens of a literals-only initialiser; how far below the threshold exact evidence still decides.
 LITERALS, NEAR = 0.6, 1.0
 #: Share of names of one or two letters, and names needed, that label minified code.
@@ -134,7 +134,7 @@ def _features_of(rows: list[dict]) -> pa.RecordBatch:
     for r, ts, a, b in zip(rows, tokens, raw, forms):
         at, x = _counts(np.concatenate([a, b]))
         paths, y = _counts(path_features(r["file_path"]))
-        notes = [t for t in ts[:HEAD] if is_comment(t)] if r["block"] == 0 else []
+        notes = [t for t in ts if is_comment(t)]
         short = short_names(ts, [x["token_type"] or "" for x in r["toks"]])
         values = (r["repo_name"], r["file_path"], r["block"], len(ts), literal_run(ts), short, at + [DIMENSIONS + p for p in paths], [*x, *(0.5 * v for v in y)], notes)
         for c, v in zip(out, values):
@@ -323,8 +323,7 @@ def score_blocks(features: DataFrame, models: dict[str, Linear]) -> DataFrame:
 def classify(tokens: DataFrame, upstream: DataFrame) -> DataFrame:
     """(repo_name, file_path, n_tokens, kind): every file of LEAST_TOKENS distinct token indexes or more; kind is null for hand-written source.
 
-    A file is of the kind whose classifier scores it highest above its threshold, or 'generated' by a comment in its first HEAD
-    tokens. A file just below a threshold is of the kind if exact evidence (path, known upstream, literals, short names) says so. Rows
+    A file is of the kind whose classifier scores it highest above its threshold, or 'generated' by one of its comments. A file just below a threshold is of the kind if exact evidence (path, known upstream, literals, short names) says so. Rows
     without repository, path or token_index belong to no file; null token values count as empty tokens.
     """
     blocks = materialise(blocks_of(tokens), "blocks")

@@ -79,3 +79,11 @@ def test_empty_tables(spark, tables):
     _, tokens, up = tables
     assert M.classify(tokens.limit(0), up).count() == 0
     assert M.not_handwritten(tokens.where("repo_name = 'repo1' and file_path like 'src/m%'"), up.limit(0)).count() == 0
+
+
+def test_a_notice_is_read_wherever_it_stands():
+    for at in (20, 600):
+        toks = [{"token_value": "// licence" if i < 18 else "x", "token_type": "name"} for i in range(at)] + [{"token_value": "// DO NOT EDIT", "token_type": "comment"}]
+        for block in (0, 1):
+            got = M._features_of([{"repo_name": "r", "file_path": "f.c", "block": block, "toks": toks}]).to_pylist()
+            assert "// DO NOT EDIT" in got[0]["notes"]
