@@ -2,30 +2,40 @@
 
 The words that occur often in the corpus are compiled into a minimal acyclic transducer: a byte automaton whose suffixes are
 shared, whose arcs carry how many words they pass over, so that a word's path adds up to its number, under which its ids stand.
-The file is memory-mapped by every worker. A word that the transducer lacks is merged exactly, pair by pair in rank order.
+The file is shipped to every executor and memory-mapped there. A word that the transducer lacks is merged exactly, pair by pair in
+rank order.
+
+The texts are read where they lie, once to count the words and once to encode them; only word counts are shuffled.
 """
 
 from __future__ import annotations
 
 import base64
+import heapq
 import mmap
 import struct
 from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataloom.runtime import scratch_path, spread
+from strataloom.runtime import scratch_path
 
 #: Where the tokenizers' files lie, and the vocabulary in ranks.
 TOKENIZERS, VOCABULARY = "/opt/tokenizers", "byte_bpe_50k.tiktoken"
 #: Documented bound of the transducer in words; occurrences that make a word frequent; words a worker keeps at hand.
 LEXICON, FREQUENT, AT_HAND = 100_000, 2, 200_000
+#: Bytes from which a word is neither compiled nor kept at hand, but merged over a heap: the same ids in n log n steps.
+LONG = 64
 
 # Fixed value: the pattern that splits a text before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -59,8 +69,6 @@ def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 def _heap_merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     """``merge`` for long words: the same joins from a heap over a linked list, in n log n steps."""
-    import heapq
-
     n = len(word)
     end, before, after = list(range(1, n + 1)), list(range(-1, n - 1)), [*range(1, n), -1]
     heap: list[tuple[int, int, int, int]] = []
@@ -178,25 +186,31 @@ class Lexicon:
 
 
 @lru_cache(maxsize=2)
-def _mapped(path: str) -> Lexicon:
-    return Lexicon(path)
+def _mapped(name: str) -> Lexicon:
+    """The shipped transducer ``name``, mapped once a worker."""
+    return Lexicon(SparkFiles.get(name))
+
+
+class WordIds(dict):
+    """The ids of words: those at hand, else the transducer's, else merged exactly. At most AT_HAND words are kept."""
 
+    def __init__(self, lexicon: Lexicon, ranks: dict[bytes, int]):
+        super().__init__()
+        self.lexicon, self.ranks = lexicon, ranks
 
-def encode_words(text: str, lexicon: Lexicon, ranks: dict[bytes, int], at_hand: dict[str, list[int]]) -> list[int]:
-    ids: list[int] = []
-    for word in _SPLIT.findall(text):
-        got = at_hand.get(word)
+    def __missing__(self, word: str) -> list[int]:
+        raw = word.encode("utf-8", "replace")
+        got = self.lexicon.get(raw)
         if got is None:
-            raw = word.encode("utf-8", "replace")
-            got = lexicon.get(raw)
-            if got is None:
-                got = merge(raw, ranks) if len(raw) < 64 else _heap_merge(raw, ranks)
-            if len(at_hand) >= AT_HAND:
-                at_hand.clear()
-            if len(raw) < 64:
-                at_hand[word] = got
-        ids += got
-    return ids
+            got = merge(raw, self.ranks) if len(raw) < LONG else _heap_merge(raw, self.ranks)
+        if len(self) >= AT_HAND:
+            self.clear()
+        if len(raw) < LONG:
+            self[word] = got
+        return got
+
+    def encode(self, text: str) -> list[int]:
+        return list(chain.from_iterable(map(self.__getitem__, _SPLIT.findall(text))))
 
 
 def _count_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -214,46 +228,51 @@ def _count_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def frequent_words(texts: DataFrame) -> list[str]:
     """At most LEXICON of the words that occur FREQUENT times or more, the most frequent first; counted over all texts."""
     counts = texts.mapInPandas(_count_batches, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.where((F.col("n") >= FREQUENT) & (F.length("word") < 64)).orderBy(F.col("n").desc(), "word").limit(LEXICON)
-    return [r[0] for r in top.collect()]
+    top = counts.where((F.col("n") >= FREQUENT) & (F.length("word") < LONG)).orderBy(F.col("n").desc(), "word").limit(LEXICON)
+    return top.toArrow().column("word").to_pylist()
 
 
-def lexicon_of(spark: SparkSession, words: list[str], ranks: dict[bytes, int]) -> str | bytes:
-    """The compiled transducer: its path in the shared folder, or its bytes where that folder is no file system the workers mount."""
+def ship_lexicon(spark: SparkSession, words: list[str], ranks: dict[bytes, int]) -> str:
+    """Compiles the transducer of ``words``, writes it to the shared folder on whatever file system that is, and ships it to every executor, later ones too; its name among the session's files."""
     block = compile_lexicon({(w := word.encode("utf-8", "replace")): merge(w, ranks) for word in words})
-    path = scratch_path(spark, "lexicon")
-    if "://" in path and not path.startswith("file://"):
-        return block
-    local = path.removeprefix("file://")
-    if local.startswith("file:"):
-        local = local.removeprefix("file:")
-    import os
-
-    os.makedirs(os.path.dirname(local), exist_ok=True)
-    with open(f"{local}.tmp", "wb") as f:
-        f.write(block)
-    os.replace(f"{local}.tmp", local)
-    return local
-
-
-def encode(documents: DataFrame, tokenizers: str = TOKENIZERS, count_only: bool = False) -> DataFrame:
+    target = spark._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, "lexicon"))
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = fs.create(target)
+    out.write(bytearray(block))
+    out.close()
+    spark.sparkContext.addFile(fs.makeQualified(target).toString())
+    return target.getName()
+
+
+def encode(documents: DataFrame, tokenizers: str = TOKENIZERS, count_only: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
     """``documents``' doc_id with ids (array<int>), or n_tokens (bigint) if ``count_only``: the text's ids without special tokens.
 
     An empty and a null text have no ids: an empty list, never null. Strings of special tokens are ordinary text. One row per
-    row of ``documents``; texts are encoded whole.
+    row of ``documents``; texts are encoded whole. The columns of ``carry`` pass through. The vocabulary lies at the same path on
+    every executor, as the tokenizers' package puts it there.
     """
     spark = documents.sparkSession
     vocabulary = f"{tokenizers}/{VOCABULARY}"
-    rows = spread(documents.select("doc_id", "text"))
-    source = lexicon_of(spark, frequent_words(rows.select("text")), load_ranks(vocabulary))
-    shared = spark.sparkContext.broadcast(source) if isinstance(source, bytes) else None  # bounded by LEXICON words
-    path = None if shared else source
-
-    def batches(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lexicon = Lexicon(shared.value) if shared else _mapped(path)
-        ranks, at_hand = load_ranks(vocabulary), {}
-        for pdf in pdfs:
-            ids = [encode_words(t, lexicon, ranks, at_hand) if t else [] for t in pdf["text"]]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_tokens": [len(x) for x in ids]} if count_only else {"doc_id": pdf["doc_id"], "ids": ids})
-
-    return rows.mapInPandas(batches, "doc_id bigint, n_tokens bigint" if count_only else "doc_id bigint, ids array<int>")
+    name = ship_lexicon(spark, frequent_words(documents.select("text")), load_ranks(vocabulary))
+
+    def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = WordIds(_mapped(name), load_ranks(vocabulary))
+        for batch in stream:
+            ids, sizes = array("i"), []
+            for text in batch.column("text"):
+                t = text.as_py()
+                got = words.encode(t) if t else []
+                sizes.append(len(got))
+                if not count_only:
+                    ids.extend(got)
+            kept = [batch.column(c) for c in ("doc_id", *carry)]
+            if count_only:
+                result = pa.array(sizes, pa.int64())
+            else:
+                ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+                result = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(ids, np.int32), pa.int32()))
+            yield pa.RecordBatch.from_arrays([*kept, result], ["doc_id", *carry, "n_tokens" if count_only else "ids"])
+
+    rows = documents.select("doc_id", *carry, "text")
+    kept = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in ("doc_id", *carry))
+    return rows.mapInArrow(batches, f"{kept}, n_tokens bigint" if count_only else f"{kept}, ids array<int>")

@@ -90,8 +90,7 @@ def plan(sources: list[Source], budget: float | None = None, wanted_entropy: flo
 
 def sized(documents: DataFrame, tokenizers: str = TOKENIZERS) -> DataFrame:
     """(doc_id, source, n_tokens) of the documents with at least one token; null and empty texts have none and can't be mixed."""
-    counts = encode(documents, tokenizers, count_only=True)
-    return documents.select("doc_id", "source").join(counts, "doc_id").where("n_tokens > 0")
+    return encode(documents, tokenizers, count_only=True, carry=("source",)).where("n_tokens > 0")
 
 
 def supply(sizes: DataFrame, targets: DataFrame) -> list[Source]:
