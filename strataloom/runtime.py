@@ -77,12 +77,15 @@ def materialise(df: DataFrame, label: str, partition_by: list[str] | None = None
 
 #: Bytes, as stored, that one partition of ``spread`` is meant to hold.
 SPREAD_BYTES = 64 << 20
+#: What the planner puts for a size it doesn't know is at least this.
+UNKNOWN_BYTES = 1 << 60
 
 
 def input_bytes(df: DataFrame) -> int:
-    """The bytes that the scans under ``df`` read, by the planner's own statistics."""
+    """The bytes that the scans under ``df`` read, by the planner's own statistics; a leaf of unknown size, as rows of the driver are, counts as none."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(n for n in sizes if n < UNKNOWN_BYTES)
 
 
 def spread(df: DataFrame, *by: str) -> DataFrame:

@@ -45,6 +45,7 @@ def test_spread_grows_with_the_input(spark, monkeypatch):
     written = runtime.materialise(spark.range(1000), "spread-test")
     cores = spark.sparkContext.defaultParallelism
     assert runtime.spread(written).rdd.getNumPartitions() == 3 * cores
+    assert runtime.spread(spark.createDataFrame([(1,)], "id int")).rdd.getNumPartitions() == 3 * cores
     monkeypatch.setattr(runtime, "SPREAD_BYTES", 50)
     assert runtime.spread(written).rdd.getNumPartitions() == -(-runtime.input_bytes(written) // 50) > 3 * cores
 
