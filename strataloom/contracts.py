@@ -18,13 +18,10 @@ COMMIT = (
     "cregit_commit_sha original_commit_sha author_name author_email author_date committer_name committer_email committer_date commit_summary personid "
     "person_name person_email person_domain repo_tag"
 ).split()
-FOOTERS = [
-    f"footer_{x}"
-    for x in (
-        "signed_off_by co_authored_by co_developed_by reviewed_by acked_by tested_by reported_by suggested_by based_on_patch_by helped_by mentored_by "
-        "assisted_by thanks_to personids person_names"
-    ).split()
-]
+FOOTERS = (
+    "footer_signed_off_by footer_co_authored_by footer_co_developed_by footer_reviewed_by footer_acked_by footer_tested_by footer_reported_by footer_suggested_by "
+    "footer_based_on_patch_by footer_helped_by footer_mentored_by footer_assisted_by footer_thanks_to footer_personids footer_person_names"
+).split()
 FIRM = "firm_raw firm firm_source".split()
 LONGS = {"token_index", "source_line", "source_col", "is_structural"}
 
@@ -57,21 +54,26 @@ def as_rows(schema: T.StructType) -> list[tuple[str, str]]:
 def compare(actual: T.StructType, contract: T.StructType = CONTRACT) -> list[Drift]:
     """Every drift: the contract's missing and retyped columns in its order, then the unexpected ones in the file's; 'order' only if nothing else drifted.
 
-    Names are compared exactly. Of a name that a file has twice the last type counts.
+    The two schemas are joined by name, as tables of (name, type, position). Names are compared exactly. Of a name that a file has
+    twice the last type counts.
     """
-    have, want = as_rows(actual), as_rows(contract)
-    types, wanted = dict(have), dict(want)
-    out = []
-    for name, kind in want:
-        if name not in types:
-            out.append(Drift("missing", name, kind))
-        elif types[name] != kind:
-            out.append(Drift("type", name, f"{kind} expected, {types[name]} found"))
-    out += [Drift("unexpected", name, kind) for name, kind in have if name not in wanted]
-    if not out and have != want:
-        at = next(i for i, (a, b) in enumerate(zip(have, want)) if a != b) if len(have) == len(want) else len(want)
-        out.append(Drift("order", have[at][0], f"position {at + 1}"))
-    return out
+    joined: dict[str, dict[str, tuple[int, str]]] = {}
+    for side, schema in (("contract", contract), ("file", actual)):
+        for position, (name, kind) in enumerate(as_rows(schema), 1):
+            joined.setdefault(name, {})[side] = (position, kind)
+    rows = []
+    for name, sides in joined.items():
+        match sides:
+            case {"contract": (at, wanted), "file": (_, found)} if wanted != found:
+                rows.append((0, at, Drift("type", name, f"{wanted} expected, {found} found")))
+            case {"contract": (at, wanted)} if "file" not in sides:
+                rows.append((0, at, Drift("missing", name, wanted)))
+            case {"file": (at, found)} if "contract" not in sides:
+                rows.append((1, at, Drift("unexpected", name, found)))
+    if not rows:
+        moved = [(s["file"][0], n) for n, s in joined.items() if s["file"][0] != s["contract"][0]]
+        rows = [(0, 0, Drift("order", n, f"position {at}")) for at, n in sorted(moved)[:1]]
+    return [drift for *_, drift in sorted(rows)]
 
 
 def file_schema(spark: SparkSession, path: str) -> T.StructType:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -19,6 +20,11 @@ def blank_to(c: Column, default: Column | str) -> Column:
     return F.coalesce(F.nullif(c, F.lit("")), default if isinstance(default, Column) else F.lit(default))
 
 
+def strip(c: Column) -> Column:
+    """``c`` without white space of any kind around it."""
+    return F.regexp_replace(c, "(?U)^\\s+|\\s+$", "")
+
+
 def u_of(slug: Column, salt: str) -> Column:
     """The first 53 bits of sha256(salt + slug) as a fraction of 2**53: a permanent random number in [0, 1)."""
     head = F.conv(F.substring(F.sha2(F.concat(F.lit(salt), slug), 256), 1, 14), 16, 10).cast("bigint")
@@ -31,7 +37,7 @@ def is_sha(c: Column) -> Column:
 
 def included(c: Column) -> Column:
     """Whether a cell says yes; null says no."""
-    return F.coalesce(F.lower(F.trim(c)).isin(*TRUE_WORDS), F.lit(False))
+    return F.coalesce(F.lower(strip(c)).isin(*TRUE_WORDS), F.lit(False))
 
 
 def slug_parts(slug: Column) -> Column:
@@ -109,3 +115,19 @@ def no_field_breaks(c: Column) -> Column:
 def safe_name(c: Column) -> Column:
     """Whether a name is one path component that stays where it is put."""
     return F.coalesce((c != "") & ~c.contains("/") & ~c.contains(".."), F.lit(False))
+
+
+def whole_flag(text: Column, flag: str) -> Column:
+    """Whether a text names ``flag`` whole: '--mask' isn't in '--mask-widened'."""
+    return F.coalesce(text.rlike("(?<![\\w-])" + re.escape(flag) + "(?![\\w-])"), F.lit(False))
+
+
+def first_few(items: Column, n: int, sep: str = "; ") -> Column:
+    """The first ``n`` of an array of messages as one text."""
+    return F.array_join(F.slice(items, 1, n), sep)
+
+
+def rounded(seconds: Column, unit: str) -> Column:
+    """A duration as logs write it: 's' whole seconds, 'ms' seconds with three decimals, 'min' minutes with one; ties to even."""
+    forms = {"s": F.bround(seconds, 0).cast("bigint").cast("string"), "ms": F.format_string("%.3f", F.bround(seconds, 3)), "min": F.format_string("%.1f", F.bround(seconds / 60, 1))}
+    return F.when(seconds.isNotNull(), forms[unit])

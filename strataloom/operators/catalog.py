@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strataloom.contracts import CONTRACT, Drift, compare, file_schema
+from strataloom.contracts import Drift
 from strataloom.functions.scalars import percent
+from strataloom.operators.footers import drift_rows, footers, sorted_out
+from strataloom.runtime import materialise
 from strataloom.sources.files import token_files
 from strataloom.sources.sinks import upsert
 
@@ -44,19 +44,15 @@ def corpus_view(tokens: DataFrame, projects: DataFrame) -> DataFrame:
 
 
 def split_by_schema(spark: SparkSession, paths: list[str]) -> tuple[list[str], dict[str, list[Drift]], list[str]]:
-    """(usable, drifted with their drifts, unreadable) of token files: one odd file doesn't break the union of the others."""
-    usable, drifted, unread = [], {}, []
-    for path in paths:
-        try:
-            drift = compare(file_schema(spark, path), CONTRACT)
-        except (PySparkException, Py4JJavaError):
-            unread.append(path)
-            continue
-        if drift:
-            drifted[path] = drift
-        else:
-            usable.append(path)
-    return usable, drifted, unread
+    """(usable, drifted with their drifts, unreadable) of token files: one odd file doesn't break the union of the others. All footers are read in one job."""
+    if not paths:
+        return [], {}, []
+    columns = materialise(footers(spark, paths), "footers")
+    verdicts = {r["path"]: r["verdict"] for r in sorted_out(columns).collect()}  # one a file
+    drifted: dict[str, list[Drift]] = {p: [] for p in paths if verdicts[p] == "drifted"}
+    for r in drift_rows(columns.where("error is null")).collect() if drifted else []:
+        drifted[r["path"]].append(Drift(r["kind"], r["column"], r["detail"]))
+    return [p for p in paths if verdicts[p] == "usable"], drifted, [p for p in paths if verdicts[p] == "unreadable"]
 
 
 def accepts(size: int, rows: int, drift: list[Drift]) -> str:

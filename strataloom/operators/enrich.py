@@ -6,9 +6,10 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strataloom.contracts import CONTRACT, UNATTRIBUTED, UNATTRIBUTED_CONTRACT, compare, file_schema
-from strataloom.functions.scalars import blank_to
+from strataloom.functions.scalars import blank_to, strip
 from strataloom.sources.files import lookup, numbered_parquet
 from strataloom.sources.sinks import write_single_parquet
 
@@ -18,27 +19,37 @@ class Refused(ValueError):
 
 
 def repeated_keys(df: DataFrame, column: str, line: str | None = None) -> DataFrame:
-    """(key, n, second_line) of the keys, trimmed and lower-cased, that stand in more than one row; a null key counts as ''.
+    """(key, n, second_line) of the keys, stripped of white space and lower-cased, that stand in more than one row; a null key counts as ''.
 
-    ``line`` numbers the rows; second_line, where the key repeats first, orders the report. Without it the column is null.
+    ``line`` numbers the rows; second_line, where the key repeats first, orders the report. Without it the column is null. Only
+    counts and least lines are aggregated, so a hot key costs no more than another.
     """
-    key = F.coalesce(F.lower(F.trim(column)), F.lit(""))
-    rows = df.select(key.alias("key"), (F.col(line) if line else F.lit(None).cast("bigint")).alias("_line"))
+    rows = df.select(F.coalesce(F.lower(strip(F.col(column))), F.lit("")).alias("key"), (F.col(line) if line else F.lit(None).cast("bigint")).alias("_line"))
+    first = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("_line").alias("_least")).where("n > 1")
     if not line:
-        return rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumn("second_line", F.lit(None).cast("bigint"))
-    ranked = rows.withColumn("_r", F.row_number().over(Window.partitionBy("key").orderBy("_line")))
-    return ranked.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max(F.when(F.col("_r") == 2, F.col("_line"))).alias("second_line")).where("n > 1")
+        return first.select("key", "n", F.col("_least").alias("second_line"))
+    later = rows.join(first, "key").where("_line > _least").groupBy("key").agg(F.min("_line").alias("second_line"))
+    return first.join(later, "key", "left").select("key", "n", "second_line")
 
 
 def guard(df: DataFrame, column: str, name: str) -> None:
-    """Refuses a lookup table without ``column`` or with a repeated key: it would multiply the rows it is joined to."""
+    """Refuses a lookup table without ``column`` or with a repeated key: it would multiply the rows it is joined to. Names up to five keys, the first to repeat first."""
     if column not in df.columns:
         raise Refused(f"{name} has no column {column}")
-    found = [r["key"] for r in repeated_keys(df, column).orderBy("key").limit(5).collect()]
+    numbered = df.withColumn("_line", F.monotonically_increasing_id())
+    found = [r["key"] for r in repeated_keys(numbered, column, "_line").orderBy("second_line").limit(5).collect()]
     if found:
         raise Refused(f"{name}: {column} repeats: {', '.join(found)}")
 
 
+def input_form(schema: T.StructType) -> str:
+    """'attributed' or 'unattributed', the two forms of a token file that attribution takes, or its first drift from the latter."""
+    if not compare(schema, CONTRACT):
+        return "attributed"
+    drift = compare(schema, UNATTRIBUTED_CONTRACT)
+    return f"{drift[0].kind} {drift[0].column}: {drift[0].detail}" if drift else "unattributed"
+
+
 def first_of_key(df: DataFrame, key: str, *order: str) -> DataFrame:
     """One row of each lower-cased key: the first by ``order``, nulls last."""
     window = Window.partitionBy(F.lower(key)).orderBy(*[F.col(c).asc_nulls_last() for c in order])
@@ -71,9 +82,8 @@ def attribute_file(spark: SparkSession, path: str, domain_csv: str, canonical_cs
     domains, names = lookup(spark, domain_csv), lookup(spark, canonical_csv)
     guard(domains, "domain", domain_csv)
     guard(names, "firm_raw", canonical_csv)
-    schema = file_schema(spark, path)
-    if compare(schema, CONTRACT) and (drift := compare(schema, UNATTRIBUTED_CONTRACT)):
-        raise Refused(f"{path}: {drift[0].kind} {drift[0].column}: {drift[0].detail}")
+    if (form := input_form(file_schema(spark, path))) not in ("attributed", "unattributed"):
+        raise Refused(f"{path}: {form}")
     rows = numbered_parquet(spark, path)
     out = attribute_firms(rows.select(*UNATTRIBUTED, "_row"), domains, names).select(*[f.name for f in CONTRACT.fields], "_row")
     n = rows.count()

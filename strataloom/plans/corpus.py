@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataloom import contracts
 from strataloom.functions import mask, scalars
-from strataloom.operators import catalog, enrich, ledger, sampling
+from strataloom.operators import catalog, enrich, ledger, reports, sampling
 from strataloom.runtime import table
-from strataloom.sources import sinks
+from strataloom.sources import files, sinks
 
 SALT, SAMPLE, NEWEST, RETRIES = "strata:", 50, 20, 2
 QUERIES, ORACLE = {}, {}
@@ -154,8 +154,7 @@ def last_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("select state, count(*) as n from ledger where step = 'project' and status is distinct from 'started' group by state")
 def outcome_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "ledger").where((F.col("step") == "project") & ~F.col("status").eqNullSafe("started"))
-    return rows.groupBy("state").agg(F.count(F.lit(1)).alias("n"))
+    return reports.outcomes(table(spark, sf_dir, "ledger"))
 
 
 _FINISHED = "select line_no, project, run_id, attempt, duration_s from ledger where step = 'pipeline' and exit_code = 0 and status is distinct from 'started'"
@@ -206,10 +205,7 @@ def publishable_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
     select count(*) filter (parquet_missing) as missing, count(*) filter (rows_unreadable) as unreadable, count(*) filter (excluded_because is not null) as excluded,
            count(*) filter (parquet_path is null) as without_path from projects""")
 def catalogue_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "projects").agg(
-        F.count_if("parquet_missing").alias("missing"), F.count_if("rows_unreadable").alias("unreadable"), F.count_if(F.col("excluded_because").isNotNull()).alias("excluded"),
-        F.count_if(F.col("parquet_path").isNull()).alias("without_path"),
-    )
+    return reports.flag_counts(table(spark, sf_dir, "projects"))
 
 
 @query("""
@@ -237,20 +233,14 @@ def first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    select line_no, case when pinned_sha is null or not regexp_full_match(pinned_sha, '[0-9a-f]{40}') then 'commit'
-                         when coalesce(manifest_row['size_class'], '') not in ('S', 'M', 'L') then 'size class'
-                         when coalesce(manifest_row['url'], '') = '' then 'url'
-                         when not regexp_full_match(coalesce(manifest_row['name'], ''), '[A-Za-z0-9._-]+') then 'name' end as violation
+    select line_no, case when pinned_sha is not null and not regexp_full_match(pinned_sha, '[0-9a-f]{40}') then 'the pinned commit is no SHA'
+                         when coalesce(manifest_row['size_class'], '') not in ('S', 'M', 'L') then 'the size class is none of S, M, L' end as violation
     from ledger where manifest_row is not null""")
 def manifest_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = lambda k: F.coalesce(F.try_element_at("manifest_row", F.lit(k)), F.lit(""))
-    bad = (
-        F.when(~F.coalesce(scalars.is_sha(F.col("pinned_sha")), F.lit(False)), "commit")
-        .when(~m("size_class").isin("S", "M", "L"), "size class")
-        .when(m("url") == "", "url")
-        .when(~m("name").rlike("^[A-Za-z0-9._-]+$"), "name")
-    )
-    return table(spark, sf_dir, "ledger").where("manifest_row is not null").select("line_no", bad.alias("violation"))
+    line = F.concat_ws("\t", *[m(k) for k in ("name", "url", "category", "file_filter", "size_class")], F.col("pinned_sha"))  # null: no sixth field
+    rows = table(spark, sf_dir, "ledger").where("manifest_row is not null").select(F.lit("ledger").alias("path"), "line_no", line.alias("line"))
+    return files.manifest_fields(rows).select("line_no", "violation")
 
 
 @query(f"select distinct repo_name, file_path, regexp_matches(file_path, '{mask.UNIVERSAL}') as selected from tokens where file_path is not null")
@@ -291,11 +281,13 @@ def parsed_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", scalars.size_to_bytes(text).alias("bytes"))
 
 
-@query("select name, cast(token_rows as varchar) as rows_said, coalesce(state, '') as state_said from projects")
+@query("""
+    select name, case when token_rows is null then 0 when token_rows % 5 = 0 then null else token_rows end as rows, length(name) as bytes, coalesce(token_rows % 5 = 0, false) as unreadable
+    from projects""")
 def key_value_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = F.concat_ws("\n", F.concat(F.lit("rows="), F.col("token_rows").cast("string")), F.concat(F.lit("state="), F.coalesce("state", F.lit(""))))
-    m = scalars.key_values(text)
-    return table(spark, sf_dir, "projects").select("name", F.try_element_at(m, F.lit("rows")).alias("rows_said"), F.try_element_at(m, F.lit("state")).alias("state_said"))
+    rows = F.concat(F.lit("rows="), F.when(F.col("token_rows") % 5 == 0, "many").otherwise(F.concat(F.lit(" "), F.col("token_rows").cast("string"))))
+    text = F.concat_ws("\n", rows, F.concat(F.lit("bytes="), F.length("name").cast("string")), F.lit("no pair"))
+    return table(spark, sf_dir, "projects").select("name", files.stamp_facts(text).alias("_s")).select("name", "_s.*")
 
 
 @query("select line_no, cast(json_extract_string(flags, '$.workers') as bigint) as workers, json_extract_string(flags, '$.skip_html') as skip_html from ledger")
@@ -325,10 +317,10 @@ def projects_without_publication(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "ledger").where("project is not null").select("project").distinct().join(done, "project", "left_anti")
 
 
-@query("select doc_id as id, text from documents union all select event_id, props from events")
+@query("select repo_name, 2 * count(*) as n, max(token_index) as most from tokens group by repo_name")
 def union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
-    return docs.unionByName(table(spark, sf_dir, "events").select(F.col("props").alias("text"), F.col("event_id").alias("id")))
+    path = f"{sf_dir}/tokens.parquet"
+    return files.token_files(spark, [path, path]).groupBy("repo_name").agg(F.count(F.lit(1)).alias("n"), F.max("token_index").alias("most"))
 
 
 _FIELDS = [f for f in contracts.PROVENANCE if f != "file_mask"]
@@ -345,18 +337,3 @@ def project_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
 def progress_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = catalog.class_breakdown(table(spark, sf_dir, "projects"))
     return counts.select("size_class", scalars.bar(F.col("done").cast("double"), F.col("total")).alias("bar"))
-
-
-@query("""
-    select c.c_custkey, c.c_name, coalesce(n.n_name, '') as nation, coalesce(nullif(r.r_name, ''), n.n_name, '') as region
-    from customer c left join nation n on c.c_nationkey = n.n_nationkey left join region r on n.n_regionkey = r.r_regionkey""")
-def enrich_lookup_left(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c, n, r = (table(spark, sf_dir, t) for t in ("customer", "nation", "region"))
-    joined = c.join(n, c["c_nationkey"] == n["n_nationkey"], "left").join(r, n["n_regionkey"] == r["r_regionkey"], "left")
-    return joined.select("c_custkey", "c_name", F.coalesce("n_name", F.lit("")).alias("nation"), F.coalesce(F.nullif("r_name", F.lit("")), F.col("n_name"), F.lit("")).alias("region"))
-
-
-@query("select repo_name, file_path, token_index, row_number() over (partition by repo_name, file_path order by token_index, source_line nulls last, token_value nulls last) as file_row from tokens")
-def file_row_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Window.partitionBy("repo_name", "file_path").orderBy("token_index", F.col("source_line").asc_nulls_last(), F.col("token_value").asc_nulls_last())
-    return table(spark, sf_dir, "tokens").select("repo_name", "file_path", "token_index", F.row_number().over(w).cast("bigint").alias("file_row"))

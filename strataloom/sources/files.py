@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strataloom.contracts import CONTRACT, PROVENANCE
 from strataloom.functions.mask import UNIVERSAL
-from strataloom.functions.scalars import blank_to, included, is_sha, key_values, no_field_breaks, project_name, u_of
+from strataloom.functions.scalars import blank_to, included, is_sha, key_values, no_field_breaks, project_name, strip, u_of
 
 # The fields of the line formats.
 MANIFEST = ("name", "url", "category", "file_filter", "size_class")
@@ -32,10 +32,18 @@ class InputError(ValueError):
 
 
 def lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(path, line_no, line), numbered from 1 within each file. Whole files: for logs and manifests, not for data."""
-    whole = spark.read.text(paths, wholetext=True).select("_metadata.file_path", "value")
-    cut = F.posexplode(F.split(F.regexp_replace("value", "(\r\n|\r|\n)$", ""), "\r\n|\r|\n"))
-    return whole.select(F.col("file_path").alias("path"), cut.alias("_pos", "line")).select("path", (F.col("_pos") + 1).cast("bigint").alias("line_no"), "line")
+    """(path, line_no, line), numbered from 1 within each file, of files of any size.
+
+    Each line is a row that lies where Spark's own reader found it; a line's number is its place in its partition after the
+    lines of the partitions of the same file before it, whose counts are one row a partition.
+    """
+    part = F.spark_partition_id()
+    read = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_from"), F.monotonically_increasing_id().alias("_id"), part.alias("_part"), F.col("value").alias("line"))
+    blocks = read.groupBy("path", "_from", "_part").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("path").orderBy("_from")) - F.col("_n")
+    starts = blocks.select(F.col("path").alias("_p"), F.col("_from").alias("_f"), "_first", before.alias("_before"))  # one row a split
+    numbered = read.join(F.broadcast(starts), (F.col("path") == F.col("_p")) & (F.col("_from") == F.col("_f")))
+    return numbered.select("path", (F.col("_before") + F.col("_id") - F.col("_first") + 1).cast("bigint").alias("line_no"), "line")
 
 
 def stop_at_first(violations: DataFrame) -> None:
@@ -45,9 +53,9 @@ def stop_at_first(violations: DataFrame) -> None:
         raise InputError(f"{first[0]}:{first[1]}: {first[2]}")
 
 
-def manifest_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(path, line_no, the five fields, commit, violation) of every line that is neither blank nor a comment; commit is null without a sixth field."""
-    kept = lines(spark, paths).where((F.trim("line") != "") & ~F.col("line").startswith("#")).withColumn("_f", F.split("line", "\t"))
+def manifest_fields(text: DataFrame) -> DataFrame:
+    """(path, line_no, the five fields, commit, violation) of the lines (path, line_no, line) that are neither blank nor a comment; commit is null without a sixth field."""
+    kept = text.where((strip(F.col("line")) != "") & ~F.col("line").startswith("#")).withColumn("_f", F.split("line", "\t"))
     fields = [F.try_element_at("_f", F.lit(i)).alias(n) for i, n in enumerate((*MANIFEST, "commit"), 1)]
     rows = kept.select("path", "line_no", F.size("_f").alias("_n"), *fields)
     bad = (
@@ -58,6 +66,11 @@ def manifest_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return rows.withColumn("violation", bad).withColumn("file_filter", blank_to(F.col("file_filter"), UNIVERSAL)).drop("_n")
 
 
+def manifest_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """``manifest_fields`` of manifest files."""
+    return manifest_fields(lines(spark, paths))
+
+
 def manifest(spark: SparkSession, path: str, only: list[str] | None = None) -> DataFrame:
     """The rows of one manifest; a broken line stops the read. ``only`` keeps the named projects; a blank mask becomes the universal one."""
     rows = manifest_lines(spark, path)
@@ -66,23 +79,28 @@ def manifest(spark: SparkSession, path: str, only: list[str] | None = None) -> D
     return rows.where(F.col("name").isin(*only)) if only else rows
 
 
-def frame(spark: SparkSession, path: str, salt: str) -> DataFrame:
-    """The checked rows of a selection frame: line_no, slug, host, name, url, commit, u, size_class, labels, category, file_filter and the given provenance.
+def slug_column(columns: list[str], where: str = "frame") -> str:
+    """The column of a frame that names the repositories; a frame without it or without a required column is refused."""
+    found = next((c for c in ("slug", "name_with_owner") if c in columns), None)
+    missing = [c for c in ("host", "repo_url", "head_oid", "u", "size_class", "labels") if c not in columns]
+    if found is None or missing:
+        raise InputError(f"{where}: missing column(s): {', '.join(([] if found else ['slug or name_with_owner']) + missing)}")
+    return found
+
 
-    Rows that ``included`` drops are left out; the first broken row stops the read. A cell that is missing counts as blank.
+def check_frame(raw: DataFrame, salt: str, where: str = "frame") -> DataFrame:
+    """A raw frame (its cells as strings, and line_no), checked row by row: line_no, slug, host, name, url, commit, u, size_class, labels, category, file_filter, the given provenance, dropped and violation.
+
+    dropped says that ``included`` leaves a row out; such a row isn't checked. violation is the first rule that a row breaks. A
+    cell that is missing counts as blank; a category falls back to labels only where its cell is empty, not where it is blank.
     """
-    raw = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
-    slug_column = next((c for c in ("slug", "name_with_owner") if c in raw.columns), None)
-    missing = [c for c in ("host", "repo_url", "head_oid", "u", "size_class", "labels") if c not in raw.columns]
-    if slug_column is None or missing:
-        raise InputError(f"{path}: missing column(s): {', '.join(([] if slug_column else ['slug or name_with_owner']) + missing)}")
-    rows = raw.coalesce(1).withColumn("line_no", F.monotonically_increasing_id() + 2)  # one file of a few thousand rows
-    if "included" in raw.columns:
-        rows = rows.where(included(F.col("included")))
-    cell = lambda c: F.coalesce(F.trim(F.col(c)), F.lit("")) if c in raw.columns else F.lit("")
-    host, slug = blank_to(F.lower(cell("host")), "github.com"), cell(slug_column)
-    u, url = F.col("u").try_cast("double"), cell("repo_url")
-    category = blank_to(cell("category"), cell("labels"))
+    slug_in = slug_column(raw.columns, where)
+    dropped = ~included(F.col("included")) if "included" in raw.columns else F.lit(False)
+    plain = lambda c: F.coalesce(F.col(c), F.lit("")) if c in raw.columns else F.lit("")
+    cell = lambda c: strip(plain(c))
+    host, slug = blank_to(F.lower(cell("host")), "github.com"), cell(slug_in)
+    u, url = strip(F.col("u")).try_cast("double"), cell("repo_url")
+    category = strip(blank_to(plain("category"), plain("labels")))
     bad = (
         F.when(~is_sha(cell("head_oid")), "head_oid is no SHA")
         .when(u.isNull(), "u is no number")
@@ -96,9 +114,19 @@ def frame(spark: SparkSession, path: str, salt: str) -> DataFrame:
         .when(~no_field_breaks(cell("file_filter")), "file_filter holds a tab or a newline")
     )
     given = [cell(c).alias(f"given_{c}") for c in PROVENANCE]
-    out = rows.select(F.lit(path).alias("path"), "line_no", slug.alias("slug"), host.alias("host"), project_name(host, slug).alias("name"), url.alias("url"), cell("head_oid").alias("commit"), u_of(slug, salt).alias("u"), cell("size_class").alias("size_class"), cell("labels").alias("labels"), category.alias("category"), cell("file_filter").alias("file_filter"), *given, bad.alias("violation"))
-    stop_at_first(out)
-    return out.drop("violation", "path")
+    return raw.select(
+        "line_no", slug.alias("slug"), host.alias("host"), project_name(host, slug).alias("name"), url.alias("url"), cell("head_oid").alias("commit"), u_of(slug, salt).alias("u"), cell("size_class").alias("size_class"),
+        cell("labels").alias("labels"), category.alias("category"), cell("file_filter").alias("file_filter"), *given, dropped.alias("dropped"), F.when(~dropped, bad).alias("violation"),
+    )
+
+
+def frame(spark: SparkSession, path: str, salt: str) -> tuple[DataFrame, int]:
+    """(the kept rows of a selection frame in a CSV file, the number that ``included`` drops); the first broken row stops the read, named by file and line."""
+    raw = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
+    slug_column(raw.columns, path)
+    rows = check_frame(raw.coalesce(1).withColumn("line_no", F.monotonically_increasing_id() + 2), salt, path)  # one file of a few thousand rows
+    stop_at_first(rows.withColumn("path", F.lit(path)))
+    return rows.where("not dropped").drop("dropped", "violation"), rows.where("dropped").count()
 
 
 def lookup(spark: SparkSession, path: str) -> DataFrame:
@@ -136,12 +164,17 @@ def ledger(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return rows, parsed.where("_r._torn is not null").select("path", "line_no", "line")
 
 
+def stamp_facts(text: Column) -> Column:
+    """(rows, bytes, unreadable) of a stamp's text: rows missing is 0, rows that are no number are null and unreadable."""
+    said = F.try_element_at(key_values(text), F.lit("rows"))
+    rows = F.when(said.isNull(), F.lit(0).cast("bigint")).otherwise(strip(said).try_cast("bigint"))
+    return F.struct(rows.alias("rows"), F.try_element_at(key_values(text), F.lit("bytes")).try_cast("bigint").alias("bytes"), rows.isNull().alias("unreadable"))
+
+
 def stamps(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(path, rows, bytes, unreadable) of stamps of key=value lines: rows missing is 0, rows that are no number are null and unreadable."""
-    whole = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("path"), key_values(F.col("value")).alias("_m"))
-    said = F.try_element_at("_m", F.lit("rows"))
-    rows = F.when(said.isNull(), F.lit(0).cast("bigint")).otherwise(F.trim(said).try_cast("bigint"))
-    return whole.select("path", rows.alias("rows"), F.try_element_at("_m", F.lit("bytes")).try_cast("bigint").alias("bytes"), rows.isNull().alias("unreadable"))
+    """(path, rows, bytes, unreadable) of stamps of key=value lines."""
+    whole = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("path"), stamp_facts(F.col("value")).alias("_s"))
+    return whole.select("path", "_s.*")
 
 
 def json_documents(spark: SparkSession, paths: str | list[str], schema: str) -> DataFrame:

@@ -52,16 +52,22 @@ def test_all_drifts_are_reported(spark):
     assert [d.kind for d in contracts.compare(swapped)] == ["order"]
 
 
-DOMAINS = [("intel.example", "Intel", "company", "hand"), ("Upper.Example", "Upper", None, "hand"), ("us.ibm.example", "  ibm corp ", "company", "rich"), ("360.example", "360", "company", "x"), ("blank.example", None, None, None)]
-
-
-def test_attribution_edge_domains(spark):
-    domains = spark.createDataFrame(DOMAINS, "domain string, company string, kind string, source string")
-    names = spark.createDataFrame([("IBM Corp", "IBM", "merge", ""), ("upper", "", None, None)], "firm_raw string, firm string, decision string, note string")
-    asked = ["INTEL.example", "upper.example", "us.ibm.example", "360.example", "blank.example", "unmapped.example", " intel.example", "", None]
-    tokens = spark.createDataFrame([(i, d, "stale") for i, d in enumerate(asked)], "token_index int, person_domain string, firm string")
-    got = [(r["firm_raw"], r["firm"], r["firm_source"]) for r in enrich.attribute_firms(tokens, domains, names).orderBy("token_index").collect()]
-    assert got == [("Intel", "Intel", "hand"), ("Upper", "Upper", "hand"), ("  ibm corp ", "IBM", "rich"), ("360", "360", "x"), *[("", "", "")] * 5]
+def test_attribution_of_a_domain(spark):
+    """One case for each rule of the two lookups: case of the key, no trimming, the company's own spelling kept, one hop only, blanks and nulls."""
+    domains = spark.createDataFrame(
+        [("wren.example", "Wren Works", "hand"), ("Lark.Example", "LARK", "list"), ("finch.example", "\tfinch gmbh ", "list"), ("7.example", "7", "hand"), ("gull.example", None, "hand"), ("tern.example", "Tern", None)],
+        "domain string, company string, source string",
+    )
+    names = spark.createDataFrame([(" Lark ", "Lark Labs"), ("Lark Labs", "Second Hop"), ("finch gmbh", "Finch"), ("wren works", " "), ("TERN", "")], "firm_raw string, firm string")
+    cases = {
+        "WREN.example": ("Wren Works", " ", "hand"),  # a blank name that isn't empty is a name
+        "lark.example": ("LARK", "Lark Labs", "list"), " lark.example": ("", "", ""), "7.example": ("7", "7", "hand"),
+        "finch.example": ("\tfinch gmbh ", "\tfinch gmbh ", "list"),  # only spaces are trimmed for the name
+        "gull.example": ("", "", "hand"), "tern.example": ("Tern", "Tern", ""), "owl.example": ("", "", ""), "": ("", "", ""), None: ("", "", ""),
+    }
+    tokens = spark.createDataFrame([(d, "old") for d in cases], "person_domain string, firm string")
+    rows = enrich.attribute_firms(tokens, domains, names).collect()
+    assert {r["person_domain"]: (r["firm_raw"], r["firm"], r["firm_source"]) for r in rows} == cases and len(rows) == len(cases)
 
 
 def test_a_file_is_attributed_in_place_and_in_order(spark, tmp_path, small_dir):
@@ -165,9 +171,11 @@ def test_manifest_and_frame(spark, tmp_path):
     f = tmp_path / "f.csv"
     head = "slug,host,repo_url,head_oid,u,size_class,labels,included\n"
     f.write_text(head + f"a/b,,http://x,{sha},{u('a/b')!r},S,lib,yes\nc/d,G.org,http://y,{sha},0.5,S,lib,no\n")
-    rows = files.frame(spark, str(f), "s:").collect()
+    kept, dropped = files.frame(spark, str(f), "s:")
+    rows = kept.collect()
+    assert dropped == 1
     assert [(r["name"], r["line_no"], r["category"]) for r in rows] == [("a__b", 2, "lib")]
-    side = enrich.sidecar(files.frame(spark, str(f), "s:"), "frame:f", mask.UNIVERSAL, contracts.PROVENANCE).first()
+    side = enrich.sidecar(kept, "frame:f", mask.UNIVERSAL, contracts.PROVENANCE).first()
     assert (side["owner"], side["repo"], side["file_mask"], side["clone_url"], side["stars"]) == ("a", "b", mask.UNIVERSAL, "http://x", "")
     for bad in (f"a/b,,http://x,{sha},0.25,S,lib,1", f"a/b,,http://x,BEEF,{u('a/b')!r},S,lib,1", f"b,,http://x,{sha},{u('b')!r},S,lib,1", f"a/b,,,{sha},{u('a/b')!r},S,lib,1", f"a/b,,x,{sha},{u('a/b')!r},XL,lib,1"):
         f.write_text(head + bad + "\n")
