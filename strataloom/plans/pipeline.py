@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from strataloom import contracts
 from strataloom.functions import mask, scalars
-from strataloom.operators import enrich, footers, ledger, manifests, publishing, reports, retention
+from strataloom.operators import closure, enrich, footers, ledger, manifests, publishing, reports, retention
 from strataloom.plans.corpus import _CONTRACT, _HISTORY, RETRIES, SALT
 from strataloom.runtime import scratch_path, table
 from strataloom.sources import files
@@ -364,3 +364,11 @@ def first_signers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def safe_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = table(spark, sf_dir, "tokens").where("file_path is not null").select("file_path").distinct()
     return paths.withColumn("safe", scalars.safe_name(F.col("file_path")))
+
+
+@query("""
+    with recursive p as (select distinct doc_id as child, doc_id // 8 as parent from documents where doc_id >= 8), d(id) as (
+        select child from p where parent = 3 union select p.child from p join d on p.parent = d.id) select id from d""")
+def descendants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").where("doc_id >= 8").select(F.col("doc_id").alias("child"), F.floor(F.col("doc_id") / 8).alias("parent"))
+    return closure.descendants(docs, spark.createDataFrame([(3,)], "id bigint"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import configparser
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -186,6 +188,16 @@ def file_facts(spark: SparkSession, glob: str) -> DataFrame:
     return spark.read.format("binaryFile").load(glob).select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
 
 
+def settings(path: str, section: str, defaults: dict[str, str]) -> dict[str, str]:
+    """The ``defaults`` with what an INI file says in ``section``; an absent file or section changes nothing, an unknown key is an error."""
+    parser = configparser.ConfigParser(interpolation=None)
+    parser.read(path)
+    said = dict(parser[section]) if parser.has_section(section) else {}
+    if unknown := sorted(set(said) - set(defaults)):
+        raise InputError(f"{path}: [{section}] has unknown key(s): {', '.join(unknown)}")
+    return defaults | said
+
+
 def conf(spark: SparkSession, key: str, default: str) -> str:
     """A setting of this library: spark.strataloom.<key>."""
     return spark.conf.get(f"spark.strataloom.{key}", default)
