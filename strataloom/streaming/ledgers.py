@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strataloom.operators.ledger import NO_ATTEMPT, PROJECT, STARTED
 from strataloom.sources.files import LEDGER
+from strataloom.sources.sinks import replace_table
 
 
 def follow(spark: SparkSession, folder: str, files_per_batch: int = 100) -> DataFrame:
@@ -21,9 +22,9 @@ def outcomes(rows: DataFrame) -> DataFrame:
 
 
 def catch_up(counts: DataFrame, path: str, checkpoint: str) -> None:
-    """Takes in what has arrived since the last call and replaces the table at ``path`` by the new counts."""
+    """Takes in what has arrived since the last call and replaces the table at ``path`` by the new counts, written whole before they take its place."""
 
     def replace(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        replace_table(batch, path)
 
     counts.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(replace).start().awaitTermination()
