@@ -6,7 +6,8 @@ state and costs nothing. Emission probabilities are conditional counts of the co
 either side, backed off to the character alone. Viterbi's path splits the text into spans; a span of a pair's state gets that
 pair's inverse transform.
 
-The counts are never gathered: every reading of every character is a row, joined with the counts by its context.
+The counts are never gathered: every reading of every character is a row of fixed size, which names its text by a number and is
+joined with the counts by its context. The texts themselves are joined once, to the readings of each.
 """
 
 from __future__ import annotations
@@ -134,16 +135,16 @@ def _fits(char: str, before: str, after: str) -> float:
 def _read_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         rows = []
-        for group, value, n in zip(pdf["grp"], pdf["value"], pdf["n"]):
+        for text, group, value, n in zip(pdf["id"], pdf["grp"], pdf["value"], pdf["n"]):
             got = readings(value)
             spelled = {i for start, size, s, _ in got if 1 <= s <= len(UTF8_READ_AS) for i in range(start, start + size)}
             for i, size, state, c in got:
                 fits = _fits(c, value[i - 1 : i], value[i + size : i + size + 1])
-                rows.append((group, value, n, i, size, state, c, c.lower(), _context(value, i, size), _kind(c), i in spelled, _likely(c), fits))
-        yield pd.DataFrame(rows, columns=["grp", "value", "n", "start", "size", "state", "char", "low", "ctx", "kind", "spelled", "prior", "fits"])
+                rows.append((text, group, n, i, size, state, c, c.lower(), _context(value, i, size), _kind(c), i in spelled, _likely(c), fits))
+        yield pd.DataFrame(rows, columns=["id", "grp", "n", "start", "size", "state", "char", "low", "ctx", "kind", "spelled", "prior", "fits"])
 
 
-_READ = "grp string, value string, n bigint, start int, size int, state int, char string, low string, ctx string, kind string, spelled boolean, prior double, fits double"
+_READ = "id bigint, grp string, n bigint, start int, size int, state int, char string, low string, ctx string, kind string, spelled boolean, prior double, fits double"
 
 
 def viterbi(text: str, emissions: list[tuple[int, int, int, str, float]]) -> tuple[str, list[tuple[int, int, int]]]:
@@ -198,14 +199,15 @@ def restore(values: DataFrame) -> DataFrame:
     original text, '' if part of it is lost for good (U+FFFD stands in it). Null and pure ASCII values are never garbled. One
     row per distinct grp and value; values of any length count whole.
     """
-    todo = values.where(F.col("value").rlike("[^\\x00-\\x7f]")).groupBy("grp", "value").agg(F.sum("n").alias("n"))
+    todo = values.where(F.col("value").rlike(NON_ASCII)).groupBy("grp", "value").agg(F.sum("n").alias("n"))
+    todo = materialise(todo.withColumn("id", F.monotonically_increasing_id()), "garbled-or-not")  # numbers are fixed once written
     read = materialise(spread(todo).mapInPandas(_read_batches, _READ), "readings")
     # Texts with a unit of UTF-8 whose character is of a kind that the corpus writes outright don't count as clean.
     plain = read.where("state = 0 and not spelled").groupBy("kind").agg(F.count(F.lit(1)).alias("_n"))
     all_kinds = F.sum("_n").over(Window.partitionBy(F.lit(0)))  # at most the scripts and categories of Unicode
     kinds = plain.withColumn("_all", all_kinds).where("_n * 10000 >= _all").select("kind")
-    unclean = read.where(F.col("state").between(1, len(UTF8_READ_AS))).join(F.broadcast(kinds), "kind", "left_semi").select("grp", "value", F.lit(True).alias("_unclean")).distinct()
-    read = read.join(unclean, ["grp", "value"], "left").withColumn("trains", (F.col("state") == 0) & F.col("_unclean").isNull()).drop("_unclean")
+    unclean = read.where(F.col("state").between(1, len(UTF8_READ_AS))).join(F.broadcast(kinds), "kind", "left_semi").select("id", F.lit(True).alias("_unclean")).distinct()
+    read = read.join(unclean, "id", "left").withColumn("trains", (F.col("state") == 0) & F.col("_unclean").isNull()).drop("_unclean")
     seen = read.where("trains").groupBy("grp", "ctx", "low").agg(F.sum("n").alias("n_seen"))
     around = seen.groupBy("grp", "ctx").agg(F.sum("n_seen").alias("n_ctx"))
     alone = read.where("trains").groupBy("grp", "char").agg(F.sum("n").alias("n_char"))
@@ -214,32 +216,33 @@ def restore(values: DataFrame) -> DataFrame:
     own = F.when(F.col("trains"), F.col("n")).otherwise(0)  # a text is no evidence for its own reading
     unigram = (F.col("n_char") - own + 0.01 * F.col("prior")) / (F.col("n_all") - own + 0.01 * ALPHABET)
     p = F.log(F.col("fits") * (F.greatest(F.col("n_seen") - own, F.lit(0)) + BACKOFF * unigram) / (F.greatest(F.col("n_ctx") - own, F.lit(0)) + BACKOFF))
-    scored = full.groupBy("grp", "value").agg(F.collect_list(F.struct("start", "size", "state", "char", p.alias("p"))).alias("read"))  # of one text
-    return spread(scored).mapInPandas(_label_batches, "grp string, value string, restored string, n_spans int")
+    scored = full.groupBy("id").agg(F.collect_list(F.struct("start", "size", "state", "char", p.alias("p"))).alias("read"))  # of one text
+    return spread(todo.join(scored, "id").select("grp", "value", "read")).mapInPandas(_label_batches, "grp string, value string, restored string, n_spans int")
 
 
-def name_values(tokens: DataFrame) -> DataFrame:
-    """(grp, value, n): the names of tokens with how many commits have them; the three fields count as one language."""
-    fields = ("author_name", "person_name", "committer_name")
-    commits = tokens.select("original_commit_sha", *fields).distinct()
-    return _values(commits.select(F.explode(F.array(*fields)).alias("value")), "name")
+#: The fields that can be garbled, and the language that each is counted with: the three names count as one.
+FIELDS = {"author_name": "name", "person_name": "name", "committer_name": "name", "commit_summary": "summary", "source_text": "source"}
+NON_ASCII = "[^\\x00-\\x7f]"
 
 
-def summary_values(tokens: DataFrame) -> DataFrame:
-    return _values(tokens.select("original_commit_sha", F.col("commit_summary").alias("value")).distinct(), "summary")
+def occurrences(rows: DataFrame, fields: tuple[str, ...] = tuple(FIELDS)) -> DataFrame:
+    """(grp, field, record_key, value, n_rows): the non-ASCII values of ``fields``, by commit or, source_text, by token; one scan.
 
-
-def source_values(tokens: DataFrame) -> DataFrame:
-    return _values(tokens.select(F.col("source_text").alias("value")), "source")
-
-
-def _values(rows: DataFrame, group: str) -> DataFrame:
-    return rows.where(F.col("value").rlike("[^\\x00-\\x7f]")).groupBy(F.lit(group).alias("grp"), "value").agg(F.count(F.lit(1)).alias("n"))
+    The record key is null where the commit or a part of the token's key is.
+    """
+    token = F.when(F.col("repo_name").isNotNull() & F.col("file_path").isNotNull() & F.col("token_index").isNotNull(), F.concat_ws("|", "repo_name", "file_path", F.col("token_index").cast("string"))) if "source_text" in fields else None
+    key = {f: token if f == "source_text" else F.col("original_commit_sha") for f in fields}
+    some = None
+    for f in fields:
+        some = F.col(f).rlike(NON_ASCII) if some is None else some | F.col(f).rlike(NON_ASCII)
+    each = F.explode(F.array(*[F.struct(F.lit(FIELDS[f]).alias("grp"), F.lit(f).alias("field"), key[f].alias("record_key"), F.col(f).alias("value")) for f in fields]))
+    found = rows.where(some).select(each.alias("_x")).select("_x.*").where(F.col("value").rlike(NON_ASCII))
+    return found.groupBy("grp", "field", "record_key", "value").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def commit_values(tokens: DataFrame) -> DataFrame:
-    """(grp, value, n): the non-ASCII texts of tokens, of each kind a language of its own, with how many commits or tokens have them."""
-    return name_values(tokens).unionByName(summary_values(tokens)).unionByName(source_values(tokens))
+def counted(found: DataFrame) -> DataFrame:
+    """(grp, value, n) of ``occurrences``: in how many commits and fields a value stands, or in how many rows a source_text."""
+    return found.groupBy("grp", "value").agg(F.sum(F.when(F.col("grp") == "source", F.col("n_rows")).otherwise(1)).alias("n"))
 
 
 def restore_tokens(tokens: DataFrame) -> DataFrame:
@@ -247,13 +250,7 @@ def restore_tokens(tokens: DataFrame) -> DataFrame:
 
     Rows without a commit or with a null part of the token's key have no record key and are left out; repeated rows come out once.
     """
-    fixed = materialise(restore(commit_values(tokens)), "restored").select("grp", "value", "restored")
-    key = F.concat_ws("|", "repo_name", "file_path", F.col("token_index").cast("string"))
-    parts = [("author_name", "name", F.col("original_commit_sha")), ("commit_summary", "summary", F.col("original_commit_sha")), ("source_text", "source", F.when(F.col("repo_name").isNotNull() & F.col("file_path").isNotNull() & F.col("token_index").isNotNull(), key))]
-    out = None
-    for field, group, record in parts:
-        garbled = fixed.where(F.col("grp") == group).select(F.col("value").alias("_value"), "restored")
-        rows = tokens.where(F.col(field).rlike("[^\\x00-\\x7f]")).select(record.alias("record_key"), F.col(field).alias("_text")).where("record_key is not null").distinct()
-        got = rows.join(garbled, rows["_text"] == garbled["_value"]).select(F.lit(field).alias("field"), "record_key", "restored").distinct()
-        out = got if out is None else out.unionByName(got)
-    return out
+    found = materialise(occurrences(tokens), "occurrences")
+    fixed = materialise(restore(counted(found)), "restored").select(F.col("grp").alias("_grp"), F.col("value").alias("_value"), "restored")
+    rows = found.where(F.col("record_key").isNotNull() & F.col("field").isin("author_name", "commit_summary", "source_text"))
+    return rows.join(fixed, (F.col("grp") == F.col("_grp")) & (F.col("value") == F.col("_value"))).select("field", "record_key", "restored").distinct()
