@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strataloom.runtime import materialise
 
+#: Rounds after which a run that hasn't settled is given up: far more than the logarithm of any diameter.
 MAX_ROUNDS = 50
 
 
@@ -27,6 +28,8 @@ def components(links: DataFrame) -> DataFrame:
         if now == before:
             break
         before = now
+    else:
+        raise RuntimeError(f"the components didn't settle within {MAX_ROUNDS} rounds")
     least = edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component"))
     return ids.join(least, "id", "left").select("id", F.least("id", F.coalesce("component", "id")).alias("component"))
 

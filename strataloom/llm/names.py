@@ -3,8 +3,11 @@
 Suffix blocking: a name is put under the suffix of each of its tokens, so that initials, nicknames, reordered parts, joined user
 names and early typos meet; names under one address or person id meet too. A block of too many names is cut into pieces, and
 every two of its pieces are compared, so a pair meets whatever the block's size. The pairs are compared by
-longest-common-subsequence ratio, the linked ones make components. Given names are told by the lexicon of short forms, never
-by counts, so the rule is the same at every size.
+longest-common-subsequence ratio, the linked ones make components.
+
+What the comparison knows of given names it learns from the data, by shares that don't depend on the amount of it: a given name is a
+token that stands first beside several others, a short form is a token that stands, under one address or person id and beside
+one family name, for a name that more people bear.
 """
 
 from __future__ import annotations
@@ -21,32 +24,24 @@ from pyspark.sql import functions as F
 
 from strataloom.llm import mojibake
 from strataloom.llm.components import components
-from strataloom.runtime import materialise, spread
+from strataloom.runtime import materialise, pairs_within, pieces, spread
 
 #: Characters of the indexed suffix; names of a piece of a block; names of a piece from which pairs are sifted by letter counts first.
 SUFFIX, BLOCK, SIFTED = 5, 200, 12
 #: Longest-common-subsequence ratios that family names and given names need.
 FAMILY, GIVEN = 0.86, 0.8
+#: A given name: different tokens it stands before, share of its names in which it stands first.
+PARTNERS, FIRST = 3, 2 / 3
+#: A short form: families in which it stands for the other name, share of its families with another name.
+FAMILIES, STANDS_FOR = 2, 0.1
+
+NAME_FIELDS = ("author_name", "person_name", "committer_name")
 
-# Short forms of given names, as reference works list them.
-SHORT_FORMS = {
-    "alexander": "alex sandy sasha xander", "alexandra": "alex sandra", "agnieszka": "aga agnes", "andreas": "andi andy", "anthony": "tony", "benjamin": "ben benny",
-    "begona": "bego", "christopher": "chris kit", "daniel": "dan danny", "david": "dave", "dorothea": "dora dorothy thea dot", "edward": "ed eddie ted ned", "elizabeth": "liz beth betty eliza lisa",
-    "ewelina": "ewa ewka", "francisco": "paco pancho fran curro", "francois": "franz fran", "frederik": "fred freddy fritz rik", "gabriel": "gabe gabi", "guillermo": "guille memo", "harold": "harry hal",
-    "hiroto": "hiro", "ignacio": "nacho", "james": "jim jimmy", "johannes": "hans jo johan hannes", "john": "jack johnny", "josefina": "pepa fina josie", "jose": "pepe", "jurgen": "jogi", "katherine": "kate kathy katie kit",
-    "lakshmi": "laxmi", "leonard": "leo len lenny", "margaret": "peggy meg maggie greta", "matthias": "matt hias matze", "michael": "mike mick michi", "nikolai": "kolya nik niko nick", "oksana": "ksenia ksana oksi",
-    "patricia": "pat patty trish tricia", "priyanka": "priya", "richard": "rick dick richie", "robert": "bob rob bobby bert", "samantha": "sam", "samuel": "sam", "soren": "sorn", "susanna": "sue susi susie sanna", "theodora": "thea dora teddy theo",
-    "thomas": "tom tommy", "victoria": "vicky vic tori", "william": "bill will billy liam", "yvette": "eve yve", "zbigniew": "zbyszek zbych",
-}
 # Letters that fold to two ASCII letters or have no decomposition.
 FOLDS = {"ß": "ss", "ø": "o", "ð": "d", "đ": "d", "ł": "l", "æ": "ae", "œ": "oe", "þ": "th", "ı": "i"}
 #: Stands for a letter lost in decoding: it is alike to any letter.
 ANY = "ʔ"
 
-_SHORT = {(s, full) for full, shorts in SHORT_FORMS.items() for s in shorts.split()}
-_LISTED = set(SHORT_FORMS) | {s for s, _ in _SHORT}
-
-
 def fold(name: str) -> str:
     """Lower case without diacritics; what was lost in decoding becomes ANY."""
     plain = "".join(FOLDS.get(c, c) for c in re.sub(f"{mojibake.LOST}+", ANY, name.lower()))
@@ -75,21 +70,31 @@ def lcs_ratio(a: str, b: str) -> float:
     return 2 * (len(a) - bin(v).count("1")) / (len(a) + len(b))
 
 
+NONE: frozenset[str] = frozenset()
+
+
+class Known:
+    """What is known of given names: the tokens that are ones, and the names that a short form stands for."""
+
+    def __init__(self, given: frozenset[str] | set[str] = NONE, forms: dict[str, frozenset[str]] | None = None):
+        self.given, self.forms = given, forms or {}
+
+    def of(self, token: str) -> frozenset[str]:
+        return self.forms.get(token, NONE)
+
+
+NOTHING = Known()
+
+
 @lru_cache(1 << 16)
-def _same_given(a: str, b: str) -> bool:
+def _same_given(a: str, b: str, forms_a: frozenset[str], forms_b: frozenset[str], both_given: bool) -> bool:
     if a == b or (len(a) == 1 or len(b) == 1) and a[0] == b[0]:
         return True
-    if (a, b) in _SHORT or (b, a) in _SHORT or any((a, f) in _SHORT and (b, f) in _SHORT for f in SHORT_FORMS):
+    if a in forms_b or b in forms_a or forms_a & forms_b:
         return True
-    if a in SHORT_FORMS and b in SHORT_FORMS:
+    if both_given:
         return False
-    near = {f for f in SHORT_FORMS if lcs_ratio(b, f) >= FAMILY and (a, f) in _SHORT or lcs_ratio(a, f) >= FAMILY and (b, f) in _SHORT}
-    return bool(near) or a[0] == b[0] and lcs_ratio(a, b) >= GIVEN
-
-
-@lru_cache(1 << 14)
-def _initials(token: str) -> frozenset[str]:
-    return frozenset({token[0]} | {f[0] for f in SHORT_FORMS if (token, f) in _SHORT} | {s[0] for s, f in _SHORT if f == token})
+    return any(lcs_ratio(b, f) >= FAMILY for f in forms_a) or any(lcs_ratio(a, f) >= FAMILY for f in forms_b) or a[0] == b[0] and lcs_ratio(a, b) >= GIVEN
 
 
 def _same_family(a: str, b: str) -> bool:
@@ -102,13 +107,13 @@ def _same_family(a: str, b: str) -> bool:
     return len(at) == 2 and at[1] == at[0] + 1 and at[0] > 0 and a[at[0]] == b[at[1]] and a[at[1]] == b[at[0]]
 
 
-def given_of(tokens: list[str]) -> set[str]:
-    """The tokens that the lexicon lists as given names, if another is left to be the family name."""
-    listed = {t for t in tokens if t in _LISTED}
+def given_of(tokens: list[str], known: Known = NOTHING) -> set[str]:
+    """The tokens that are known as given names, if another is left to be the family name."""
+    listed = {t for t in tokens if t in known.given}
     return listed if any(len(t) > 1 and t not in listed for t in tokens) else set()
 
 
-def same_person(a: list[str], b: list[str], together: bool) -> bool:
+def same_person(a: list[str], b: list[str], together: bool, known: Known = NOTHING) -> bool:
     """Whether two token lists can name one person; ``together``: they stand under one address or id, so the given names may differ."""
     long_a, long_b = [t for t in a if len(t) > 1], [t for t in b if len(t) > 1]
     if not long_a or not long_b:
@@ -119,24 +124,25 @@ def same_person(a: list[str], b: list[str], together: bool) -> bool:
             return lcs_ratio(one, rest[0]) >= FAMILY and (one[0] == rest[0][0] or together)
         for family in (t for t in rest if len(t) >= SUFFIX):
             for given in (t for t in rest if t != family):
-                if len(one) > len(family) - 2 and any(one[0] == i and lcs_ratio(one[1:], family) >= FAMILY for i in _initials(given)):
+                initials = {given[0]} | {f[0] for f in known.of(given)}
+                if len(one) > len(family) - 2 and any(one[0] == i and lcs_ratio(one[1:], family) >= FAMILY for i in initials):
                     return True
         return together and any(lcs_ratio(one, t) >= FAMILY for t in rest if len(t) >= SUFFIX)
-    known_a, known_b = given_of(a), given_of(b)
+    known_a, known_b = given_of(a, known), given_of(b, known)
     for x in long_a:
         for y in long_b:
             if x in known_a and y in known_b or not _same_family(x, y):
                 continue
             # A short token beside two others can be a particle or what decoding left of a name.
-            if together and (min(len(x), len(y)) >= 4 or len(a) == len(b) == 2) or _all_given(_main([t for t in a if t != x]), _main([t for t in b if t != y])):
+            if together and (min(len(x), len(y)) >= 4 or len(a) == len(b) == 2) or _all_given(_main([t for t in a if t != x]), _main([t for t in b if t != y]), known):
                 return True
     return False
 
 
-def _all_given(a: list[str], b: list[str]) -> bool:
+def _all_given(a: list[str], b: list[str], known: Known) -> bool:
     """Whether every given name of the shorter list has its like in the other."""
     few, more = sorted((a, b), key=len)
-    return bool(few) and all(any(_same_given(g, h) for h in more) for g in few)
+    return bool(few) and all(any(_same_given(g, h, known.of(g), known.of(h), g in known.given and h in known.given) for h in more) for g in few)
 
 
 def _main(given: list[str]) -> list[str]:
@@ -144,6 +150,17 @@ def _main(given: list[str]) -> list[str]:
     return [t for t in given if len(t) > 1] or given[:1]
 
 
+def other_given(a: list[str], b: list[str]) -> tuple[str, str, str] | None:
+    """(given, given, family) of two names that have one family name in common and one further token each, a different one."""
+    common = [t for t in a if t in b and len(t) >= 4]
+    if len(common) != 1:
+        return None
+    rest = [_main([t for t in side if t != common[0]]) for side in (a, b)]
+    if len(rest[0]) != 1 or len(rest[1]) != 1 or rest[0] == rest[1] or min(len(rest[0][0]), len(rest[1][0])) < 2:
+        return None
+    return rest[0][0], rest[1][0], common[0]
+
+
 def _token_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         yield pd.DataFrame({"name": pdf["name"], "tokens": [tokens_of(r) if isinstance(r, str) and r else tokens_of(n) for n, r in zip(pdf["name"], pdf["restored"])]})
@@ -169,14 +186,14 @@ def _bound(a: list[str], b: list[str]) -> np.ndarray:
     return 2 * most >= FAMILY * (sizes - 1)
 
 
-def _sifted(left: list[dict], right: list[dict]) -> Iterator[tuple[dict, dict]]:
+def _sifted(left: list[dict], right: list[dict], known: Known) -> Iterator[tuple[dict, dict]]:
     """The pairs of two pieces that ``same_person`` can link: two tokens, not both given names, with letters enough in common."""
     if len(left) * len(right) < SIFTED * SIFTED:
         yield from ((x, y) for x in left for y in right)
         return
     flat = []
     for side in (left, right):
-        given = [given_of(x["tokens"]) if len(x["tokens"]) > 1 else set() for x in side]
+        given = [given_of(x["tokens"], known) if len(x["tokens"]) > 1 else set() for x in side]
         flat.append([(i, t, t in g) for i, (x, g) in enumerate(zip(side, given)) for t in x["tokens"] if len(t) > 1])
     if not flat[0] or not flat[1]:
         return
@@ -193,25 +210,42 @@ def _sifted(left: list[dict], right: list[dict]) -> Iterator[tuple[dict, dict]]:
         yield left[k // len(right)], right[k % len(right)]
 
 
+def _sides(names: list[dict], same: bool) -> tuple[list[dict], list[dict]]:
+    names = [{"name": x["name"], "tokens": [t["t"] for t in x["tokens"]], "known": x["tokens"], "right": x["right"]} for x in names]
+    return (names, names) if same else ([x for x in names if not x["right"]], [x for x in names if x["right"]])
+
+
 def _compare_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         links = set()
         for names, same, together in zip(pdf["names"], pdf["same"], pdf["together"]):
-            names = [{"name": x["name"], "tokens": list(x["tokens"]), "right": x["right"]} for x in names]
-            left, right = (names, names) if same else ([x for x in names if not x["right"]], [x for x in names if x["right"]])
-            for x, y in _sifted(left, right):
+            left, right = _sides(names, same)
+            parts = [t for x in (left if same else left + right) for t in x["known"]]
+            known = Known({t["t"] for t in parts if t["given"]}, {t["t"]: frozenset(t["forms"]) for t in parts if t["forms"] is not None and len(t["forms"])})
+            for x, y in _sifted(left, right, known):
                 pair = (min(x["name"], y["name"]), max(x["name"], y["name"]))
-                if (x["name"] < y["name"] or not same) and pair not in links and same_person(x["tokens"], y["tokens"], bool(together)):
+                if (x["name"] < y["name"] or not same) and pair not in links and same_person(x["tokens"], y["tokens"], bool(together), known):
                     links.add(pair)
         yield pd.DataFrame(sorted(links), columns=["a", "b"])
 
 
-def spellings(tokens: DataFrame) -> DataFrame:
+def _given_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        out = set()
+        for names, same in zip(pdf["names"], pdf["same"]):
+            left, right = _sides(names, same)
+            for x in left:
+                for y in right:
+                    if (x["name"] < y["name"] or not same) and (got := other_given(x["tokens"], y["tokens"])):
+                        out.add((min(got[:2]), max(got[:2]), got[2]))
+        yield pd.DataFrame(sorted(out), columns=["g", "h", "family"])
+
+
+def spellings(commits: DataFrame) -> DataFrame:
     """(name, address, person): every spelling with every lower-cased address and person id it stands beside; null where there is none."""
-    rows = tokens.select("author_name", "author_email", "person_name", "person_email", "personid", "committer_name", "committer_email").distinct()
     sides = [("author_name", "author_email", F.col("personid")), ("person_name", "person_email", F.col("personid")), ("committer_name", "committer_email", F.lit(None).cast("string"))]
     x = F.explode(F.array(*[F.struct(F.col(n).alias("name"), F.nullif(F.lower(F.trim(e)), F.lit("")).alias("address"), F.nullif(F.trim(p), F.lit("")).alias("person")) for n, e, p in sides]))
-    return rows.select(x.alias("x")).select("x.*").where("name is not null").distinct()
+    return commits.select(x.alias("x")).select("x.*").where("name is not null").distinct()
 
 
 def blocks_of(named: DataFrame, beside: DataFrame) -> DataFrame:
@@ -225,15 +259,32 @@ def blocks_of(named: DataFrame, beside: DataFrame) -> DataFrame:
     return suffix.union(sides[0]).union(sides[1]).distinct()
 
 
-def pieces(blocks: DataFrame) -> DataFrame:
-    """(key, together, i, j, name, right) from (key, together, name): the names of every two pieces i <= j of a block; ``right``: of piece j > i.
+def given_names(named: DataFrame) -> DataFrame:
+    """(t, given) from (name, tokens): the tokens that stand first, beside PARTNERS different ones or more, in FIRST of their names of several tokens."""
+    several = named.where(F.size("tokens") > 1).select(F.posexplode("tokens").alias("_pos", "t"), F.try_element_at("tokens", F.lit(-1)).alias("_last"))
+    by = several.groupBy("t", "_last").agg(F.count_if(F.col("_pos") == 0).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    sums = by.groupBy("t").agg(F.sum("_first").alias("_first"), F.sum("_n").alias("_n"), F.count_if(F.col("_first") > 0).alias("_partners"))
+    return sums.where((F.length("t") > 1) & (F.col("_partners") >= PARTNERS) & (F.col("_first") >= FIRST * F.col("_n"))).select("t", F.lit(True).alias("given"))
+
 
-    A block of up to BLOCK names is one piece; of a larger one every piece meets every other, so none of its pairs is left out.
+def short_forms(pairs: DataFrame) -> DataFrame:
+    """(t, forms) from (g, h, family): the names that a token stands for, each borne in at least as many families as the token.
+
+    A name counts if it takes STANDS_FOR of the token's families, and FAMILIES at least, so a token has at most 1 / STANDS_FOR forms.
     """
-    sizes = blocks.groupBy(F.col("key").alias("_key")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_key", F.ceil(F.col("_n") / BLOCK).cast("int").alias("_k"))
-    cut = blocks.join(sizes, F.col("key") == F.col("_key")).withColumn("_p", F.pmod(F.xxhash64("name"), F.col("_k")).cast("int"))
-    met = cut.select("key", "together", "name", "_p", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)).alias("_q"))
-    return met.select("key", "together", F.least("_p", "_q").alias("i"), F.greatest("_p", "_q").alias("j"), "name", (F.col("_p") > F.col("_q")).alias("right"))
+    both = pairs.distinct()
+    both = both.select(F.col("g").alias("t"), F.col("h").alias("form"), "family").union(both.select("h", "g", "family"))
+    borne = both.groupBy("t", "family").agg(F.count(F.lit(1)).alias("_c")).groupBy("t").agg(F.count(F.lit(1)).alias("_n"))
+    shared = both.groupBy("t", "form").agg(F.count(F.lit(1)).alias("_s")).where(F.col("_s") >= FAMILIES)
+    rated = shared.join(borne, "t").join(borne.select(F.col("t").alias("form"), F.col("_n").alias("_m")), "form")
+    return rated.where((F.col("_n") <= F.col("_m")) & (F.col("_s") >= STANDS_FOR * F.col("_n"))).groupBy("t").agg(F.collect_set("form").alias("forms"))  # at most 1 / STANDS_FOR
+
+
+def _units(blocks: DataFrame, named: DataFrame) -> DataFrame:
+    """(names, same, together): the names of every two pieces of a block, with their tokens."""
+    met = pieces(blocks, "key", "name", BLOCK).join(named, "name")
+    units = met.groupBy("key", "together", "i", "j").agg(F.collect_list(F.struct("name", "tokens", "right")).alias("names"))  # two pieces
+    return spread(units.select("names", (F.col("i") == F.col("j")).alias("same"), "together"))
 
 
 def link_names(tokens: DataFrame) -> DataFrame:
@@ -243,18 +294,22 @@ def link_names(tokens: DataFrame) -> DataFrame:
     they restore to; where that is lost, a lost letter is alike to any. A spelling that two people use joins
     them: the data can't tell which is meant.
     """
-    beside = materialise(spellings(tokens), "spellings")
-    names = beside.select("name").distinct()
-    garbled = mojibake.restore(mojibake.name_values(tokens)).select(F.col("value").alias("name"), "restored")
-    named = materialise(spread(names.join(garbled, "name", "left")).mapInPandas(_token_batches, "name string, tokens array<string>"), "names")
-    met = pieces(materialise(blocks_of(named, beside), "blocks")).join(named, "name")
-    units = met.groupBy("key", "together", "i", "j").agg(F.collect_list(F.struct("name", "tokens", "right")).alias("names"))
-    links = spread(units.select("names", (F.col("i") == F.col("j")).alias("same"), "together")).mapInPandas(_compare_batches, "a string, b string")
+    commits = materialise(tokens.select("original_commit_sha", *NAME_FIELDS, "author_email", "person_email", "personid", "committer_email").distinct(), "name-rows")
+    beside = materialise(spellings(commits), "spellings")
+    garbled = mojibake.restore(mojibake.counted(mojibake.occurrences(commits, NAME_FIELDS))).select(F.col("value").alias("name"), "restored")
+    names = beside.select("name").distinct().join(garbled, "name", "left")
+    named = materialise(spread(names).mapInPandas(_token_batches, "name string, tokens array<string>"), "names")
+    blocks = materialise(blocks_of(named, beside), "blocks")
+    plain = named.select("name", F.transform("tokens", lambda t: F.struct(t.alias("t"))).alias("tokens"))
+    seen = _units(blocks.where("together"), plain).mapInPandas(_given_batches, "g string, h string, family string")
+    forms = materialise(short_forms(seen), "short-forms")
+    each = named.select("name", F.posexplode("tokens").alias("pos", "t")).join(given_names(named), "t", "left").join(forms, "t", "left")
+    known = each.groupBy("name").agg(F.array_sort(F.collect_list(F.struct("pos", "t", F.coalesce("given", F.lit(False)).alias("given"), "forms"))).alias("tokens"))  # of one name
+    links = _units(blocks, materialise(known, "known-names")).mapInPandas(_compare_batches, "a string, b string")
     return components(links).select(F.col("id").alias("name"), F.col("component").alias("person"))
 
 
 def variant_pairs(tokens: DataFrame) -> DataFrame:
     """(name_a, name_b) with name_a < name_b by code point: all pairs of different spellings of a person."""
     people = materialise(link_names(tokens), "people")
-    a, b = people.select("person", F.col("name").alias("name_a")), people.select("person", F.col("name").alias("name_b"))
-    return a.join(b, "person").where("name_a < name_b").select("name_a", "name_b")
+    return pairs_within(people, "person", "name").select(F.col("a").alias("name_a"), F.col("b").alias("name_b"))

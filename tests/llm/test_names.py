@@ -12,6 +12,18 @@ def tokens(spark, people):
     return spark.createDataFrame(rows, COLUMNS)
 
 
+def taught(*pairs):
+    """People from whom short forms are learned: both names under one address, in three families of their own each."""
+    families = iter(stems(400, 99, 6))
+    return [[(f"{g} {f}", f"{f}@teach"), (f"{h} {f}", f"{f}@teach")] for g, h in pairs for f in (next(families) for _ in range(3))]
+
+
+def planted_pairs(spark, people, *pairs):
+    """The pairs found among the spellings of ``people``, beside those that teach ``pairs``."""
+    known = {n for p in people for n, _ in p}
+    return {tuple(r) for r in N.variant_pairs(tokens(spark, people + taught(*pairs))).collect() if set(r) <= known}
+
+
 def brute_lcs(a, b):
     row = [0] * (len(b) + 1)
     for x in a:
@@ -34,7 +46,7 @@ def test_variants_link_and_siblings_do_not(spark):
     c = ["Jürgen Öftunronor", "Juergen Oeftunronor", "JÃ¼rgen Ã–ftunronor", "Jogi Öftunronor", "J�rgen �ftunronor"]
     lone = ["Forge Merge Bot", "", "  ", "李雷"]
     people = [[(n, f"{k}{i}@x") for i, n in enumerate(p)] for k, p in (("a", a), ("b", b), ("c", c))] + [[(n, None)] for n in lone] + [[(None, None)]]
-    got = {tuple(r) for r in N.variant_pairs(tokens(spark, people)).collect()}
+    got = planted_pairs(spark, people, ("Susanna", "Sue"), ("Jürgen", "Jogi"))
     assert got == {(x, y) for p in (a, b, c) for x in p for y in p if x < y}
 
 
@@ -74,8 +86,8 @@ def test_components_against_union_find(spark):
     assert got == {x: find(x) for x in parent}
 
 
-def linked(spark, names):
-    return {tuple(r) for r in N.variant_pairs(tokens(spark, [[(n, f"{i}@x")] for i, n in enumerate(names)])).collect()}
+def linked(spark, names, *pairs):
+    return planted_pairs(spark, [[(n, f"{i}@x")] for i, n in enumerate(names)], *pairs)
 
 
 def stems(n, seed, size=4):
@@ -89,14 +101,28 @@ def test_a_common_given_name_changes_no_link(spark):
     planted = [n for p in pairs for n in p] + apart
     many = [f"{g} {s}" for g in ("Thomas", "Francisco") for s in stems(40, 8)]
     for names in (planted, planted + many):
-        assert {p for p in linked(spark, names) if set(p) & set(planted)} == pairs
+        taught_pairs = ("Francisco", "Paco"), ("Francois", "Franz"), ("Thomas", "Tom")
+        assert {p for p in linked(spark, names, *taught_pairs) if set(p) & set(planted)} == pairs
+
+
+def test_short_forms_are_learned_by_shares(spark):
+    family = stems(40, 12)
+    rows = [("bob", "robert", f) for f in family[:6]] + [("rob", "robert", f) for f in family[6:12]] + [("al", "robert", family[0]), ("al", "albert", family[1]), ("al", "albert", family[2])]
+    got = {r["t"]: set(r["forms"]) for r in N.short_forms(spark.createDataFrame(rows + rows, "g string, h string, family string")).collect()}
+    assert got == {"bob": {"robert"}, "rob": {"robert"}, "albert": {"al"}}  # the one borne in fewer families stands for the other
+    assert N.short_forms(spark.createDataFrame([], "g string, h string, family string")).count() == 0
+
+
+def test_given_names_stand_first_beside_several_others(spark):
+    rows = [("a", ["ann", "lee"]), ("b", ["ann", "kim"]), ("c", ["ann", "roe"]), ("d", ["lee", "ann"]), ("e", ["bob", "lee"]), ("f", ["cyd", "lee"]), ("g", ["solo"])]
+    assert [tuple(r) for r in N.given_names(spark.createDataFrame(rows, "name string, tokens array<string>")).collect()] == [("ann", True)]
 
 
 def test_a_block_of_more_names_loses_no_pair(spark):
     pairs = {("Bill Smithers", "William Smithers"), ("John Q Smithers", "John Smithers"), ("Yolanda Smithers", "Yolanda Tmithers")}
     planted = [n for p in pairs for n in p]
     for n in (20, 460):
-        assert pairs <= linked(spark, planted + [f"{s} Smithers" for s in stems(n, 5)])
+        assert pairs <= linked(spark, planted + [f"{s} Smithers" for s in stems(n, 5)], ("William", "Bill"))
 
 
 def test_an_address_of_many_names_loses_no_pair(spark):
@@ -109,12 +135,13 @@ def test_sifting_leaves_out_no_linked_pair():
     r = random.Random(2)
     word = lambda: "".join(r.choice("abcdeʔ" if r.random() < 0.1 else "abcde") for _ in range(r.randint(1, 8)))
     side = [{"name": str(i), "tokens": list(dict.fromkeys(r.choice(["bill", "william", word()]) for _ in range(r.randint(1, 3))))} for i in range(150)]
-    kept = {(x["name"], y["name"]) for x, y in N._sifted(side, side)}
-    said = {(x["name"], y["name"], t) for x in side for y in side for t in (False, True) if N.same_person(x["tokens"], y["tokens"], t)}
+    known = N.Known({"bill", "william"}, {"bill": frozenset({"william"})})
+    kept = {(x["name"], y["name"]) for x, y in N._sifted(side, side, known)}
+    said = {(x["name"], y["name"], t) for x in side for y in side for t in (False, True) if N.same_person(x["tokens"], y["tokens"], t, known)}
     assert said and {(a, b) for a, b, _ in said} <= kept
 
 
 def test_short_names_have_blocks_of_their_own(spark):
     people = [["Alex Wong", "Wong, Alex", "Alexander Wong"], ["A. Lee", "Ann Lee", "LEE Ann"], ["J. Kim", "James Kim", "Jim Kim"]]
     lone = ["Bob Lee", "Jan de Boer", "Jan de Vries", "Ann Kin"]
-    assert linked(spark, [n for p in people for n in p] + lone) == {(a, b) for p in people for a in p for b in p if a < b}
+    assert linked(spark, [n for p in people for n in p] + lone, ("Alexander", "Alex"), ("James", "Jim")) == {(a, b) for p in people for a in p for b in p if a < b}
