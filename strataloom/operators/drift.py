@@ -1,13 +1,17 @@
 """Schemas that drift between files (problem 2).
 
 A catalogue of column lifespans: the keys and JSON types of every file's records are its footer, presence is followed through
-the files of one feed with ``lag`` and islands, and the starts and endings are logged. An alias table links a name outside the
-contract to the contract column that it replaced: they are never in one file, one starts where the other ends, and they hold
-the same values, whatever their JSON type. The casts of the consistent table are generated from that table.
+the files of one feed with ``lag`` and islands, and the starts and endings are logged. An alias table links, feed by feed and for all feeds
+together, a name outside the contract to the contract column whose lifespans end where its own start; that the two are never in one file and hold
+the same values, whatever their JSON type, confirms it. The casts of the consistent table are generated from that table.
+
+The payloads are parsed once, to hashes of their values; all the rest works on these.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,12 +26,6 @@ MIN_SHAPES, SURE_HANDOVER = 0.9, 0.9
 
 FEED = "^(.*?)-\\d{8}-[^-]*$"
 
-# How the parts of a list are joined where a file holds a list in place of a string.
-LIST_PREFIX = {"file_mask": "(?i)\\.("}
-LIST_JOIN = {"repo_name": "__", "file_mask": "|"}
-LIST_SUFFIX = {"file_mask": ")$"}
-
-
 def feed_of(file_name: Column) -> Column:
     """The part of a file name before its date; the whole name if it has none."""
     return F.when(file_name.rlike(FEED), F.regexp_extract(file_name, FEED, 1)).otherwise(file_name)
@@ -52,9 +50,20 @@ def explode_fields(raw: DataFrame) -> DataFrame:
     return got.select("file_name", "column_name", json_type(F.col("_schema")).alias("json_type"), "value")
 
 
-def footers(fields: DataFrame) -> DataFrame:
+def cells_of(raw: DataFrame) -> DataFrame:
+    """(file_name, column_name, json_type, value_hash, shape_hash, n): how often a file's column holds a value, and the value's shape.
+
+    Values are told by their text whatever their JSON type; a shape is a text with its letters and digits replaced.
+    """
+    text = F.regexp_replace("value", '^"|"$', "")
+    shape = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, "\\p{Lu}+", "A"), "\\p{Ll}+", "a"), "\\p{Nd}+", "9")
+    cells = explode_fields(raw).select("file_name", "column_name", "json_type", F.xxhash64(text).alias("value_hash"), F.xxhash64(shape).alias("shape_hash"))
+    return cells.groupBy("file_name", "column_name", "json_type", "value_hash", "shape_hash").agg(F.count(F.lit(1)).alias("n"))
+
+
+def footers(cells: DataFrame) -> DataFrame:
     """(file_name, column_name, json_type, n): how often a file's column holds a type."""
-    return fields.groupBy("file_name", "column_name", "json_type").agg(F.count(F.lit(1)).alias("n"))
+    return cells.groupBy("file_name", "column_name", "json_type").agg(F.sum("n").alias("n"))
 
 
 def file_order(raw: DataFrame) -> DataFrame:
@@ -77,77 +86,101 @@ def lifespans(order: DataFrame, footer: DataFrame) -> DataFrame:
     return spans.join(last, "feed").withColumn("at_end", F.col("ends_pos") == F.col("_last")).drop("_run", "_last")
 
 
-def aliases(order: DataFrame, footer: DataFrame, values: DataFrame, contract: DataFrame) -> DataFrame:
-    """(new_name, column_name, apart, known, alike, handover): names outside the contract that hold a contract column's content.
+#: The one type that ``lifespans`` follows where only a column's presence counts.
+ANY_TYPE = "any"
+
+
+def handovers(spans: DataFrame, names: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(feed, new_name, n_begins) and (feed, new_name, column_name, n_handed, n_alone) of ``spans``, lifespans of columns of ANY_TYPE.
+
+    A lifespan of a name outside the contract begins unless it begins with its feed. It is handed over by the contract columns
+    whose lifespans end in the file before, alone if nothing else begins or ends there.
+    """
+    begins = spans.where("starts_pos > 1").join(names, spans["column_name"] == names["_c"], "left_anti").select("feed", F.col("column_name").alias("new_name"), F.col("starts_pos").alias("_at"))
+    ends = spans.where("not at_end").join(names, spans["column_name"] == names["_c"], "left_semi").select("feed", "column_name", (F.col("ends_pos") + 1).alias("_at"))
+    alone = begins.groupBy("feed", "_at").agg(F.count(F.lit(1)).alias("_b")).join(ends.groupBy("feed", "_at").agg(F.count(F.lit(1)).alias("_e")), ["feed", "_at"])
+    alone = alone.select("feed", "_at", ((F.col("_b") == 1) & (F.col("_e") == 1)).cast("int").alias("_alone"))
+    handed = begins.join(ends, ["feed", "_at"]).join(alone, ["feed", "_at"]).groupBy("feed", "new_name", "column_name").agg(F.count(F.lit(1)).alias("n_handed"), F.sum("_alone").alias("n_alone"))
+    return begins.groupBy("feed", "new_name").agg(F.count(F.lit(1)).alias("n_begins")), handed
+
+
+#: The feed of evidence from all feeds together.
+EVERY_FEED = "*"
+
+
+def aliases(order: DataFrame, footer: DataFrame, spans: DataFrame, cells: DataFrame, contract: DataFrame) -> DataFrame:
+    """(feed, new_name, column_name, apart, known, alike, handover): names outside the contract that hold a contract column's content in a feed.
 
-    ``values`` (column_name, json_type, value): the distinct non-null values. Of several contract columns that a name could
-    stand for, the one with the most known values wins, then the least name.
+    The evidence is a feed's own, and that of all under EVERY_FEED; the known values of a contract column are always
+    those of all feeds. A feed has few lifespans, so there the known values must confirm what they say; shapes and types alone may
+    only over all feeds. Of several contract columns that a name could stand for, the one with the most known values wins, then
+    the least name.
     """
     names = contract.select(F.col("column_name").alias("_c"), "column_type").where("_c is not null").distinct()
-    cols = footer.select("file_name", "column_name").distinct()
-    new = cols.join(names, cols["column_name"] == names["_c"], "left_anti").withColumnRenamed("column_name", "new_name")
-    old = cols.join(names, cols["column_name"] == names["_c"], "left_semi")
-    n_files = new.groupBy("new_name").agg(F.count(F.lit(1)).alias("n_files"))
-    together = new.join(old, "file_name").groupBy("new_name", "column_name").agg(F.count(F.lit(1)).alias("n_together"))
-    # Values: names outside the contract against the contract columns' values, each pair of column and value once.
-    text = F.regexp_replace("value", '^"|"$', "")  # a renamed column may come with another JSON type
-    keyed = values.withColumn("_h", F.xxhash64(text))
-    new_v = keyed.join(names, keyed["column_name"] == names["_c"], "left_anti").select(F.col("column_name").alias("new_name"), "_h").distinct()
-    old_v = keyed.join(names, keyed["column_name"] == names["_c"], "left_semi").select("column_name", "_h").distinct()
-    shape = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, "\\p{Lu}+", "A"), "\\p{Ll}+", "a"), "\\p{Nd}+", "9")
-    shaped = keyed.select("column_name", F.xxhash64(shape).alias("_s")).distinct()
-    new_s = shaped.join(names, shaped["column_name"] == names["_c"], "left_anti").select(F.col("column_name").alias("new_name"), "_s").distinct()
-    old_s = shaped.join(names, shaped["column_name"] == names["_c"], "left_semi").select("column_name", "_s").distinct()
-    n_shapes = new_s.groupBy("new_name").agg(F.count(F.lit(1)).alias("n_shapes"))
-    alike = new_s.join(old_s, "_s").groupBy("new_name", "column_name").agg(F.count(F.lit(1)).alias("n_alike"))
-    n_values = new_v.groupBy("new_name").agg(F.count(F.lit(1)).alias("n_values"))
-    shared = new_v.join(old_v, "_h").groupBy("new_name", "column_name").agg(F.count(F.lit(1)).alias("n_shared"))
-    # Handover: of the files in which a name starts (its run's first, not the feed's first), those whose predecessor was the last with the column.
-    there = order.join(footer.select("file_name", "column_name").distinct(), "file_name")
-    run = Window.partitionBy("feed", "column_name").orderBy("file_pos")
-    begun = there.where("file_pos > 0").withColumn("_prev", F.lag("file_pos").over(run)).withColumn("_next", F.lead("file_pos").over(run))
-    begins = begun.where("file_pos > 1 and (_prev is null or _prev < file_pos - 1)").select("feed", F.col("column_name").alias("new_name"), F.col("file_pos").alias("_at"))
-    begins = begins.join(names, begins["new_name"] == names["_c"], "left_anti")
-    n_begins = begins.groupBy("new_name").agg(F.count(F.lit(1)).alias("n_begins"))
-    ends = begun.where("_next is null or _next > file_pos + 1").select("feed", "column_name", (F.col("file_pos") + 1).alias("_at"))
-    ends = ends.join(names, ends["column_name"] == names["_c"], "left_semi")
-    # Alone: no other name outside the contract starts there and no other contract column ends.
-    alone = begins.groupBy("feed", "_at").agg(F.count(F.lit(1)).alias("_b")).join(ends.groupBy("feed", "_at").agg(F.count(F.lit(1)).alias("_e")), ["feed", "_at"]).select("feed", "_at", ((F.col("_b") == 1) & (F.col("_e") == 1)).alias("_alone"))
-    handed = begins.join(ends, ["feed", "_at"]).join(alone, ["feed", "_at"]).groupBy("new_name", "column_name").agg(F.count(F.lit(1)).alias("n_handed"), F.sum(F.col("_alone").cast("int")).alias("n_alone"))
-    # Retyped: the name never holds the column's contract type.
-    held = footer.where("json_type <> 'void'").select(F.col("column_name").alias("new_name"), "json_type").distinct().groupBy("new_name").agg(F.collect_set("json_type").alias("_types"))
+    only = names.select("_c").distinct()
+    new, key = ["feed", "new_name"], ["feed", "new_name", "column_name"]
+    n_begins, handed = handovers(spans, only)
+    scope = F.explode(F.array("feed", F.lit(EVERY_FEED))).alias("feed")
+    order = order.select("file_name", scope)
+    n_begins = n_begins.select(scope, "new_name", "n_begins").groupBy(*new).agg(F.sum("n_begins").alias("n_begins"))
+    handed = handed.select(scope, "new_name", "column_name", "n_handed", "n_alone").groupBy(*key).agg(F.sum("n_handed").alias("n_handed"), F.sum("n_alone").alias("n_alone"))
+    cols = order.join(footer.select("file_name", "column_name").distinct(), "file_name").select("feed", "file_name", "column_name")
+    outside = lambda df: df.join(only, df["column_name"] == only["_c"], "left_anti").withColumnRenamed("column_name", "new_name")
+    inside = lambda df: df.join(only, df["column_name"] == only["_c"], "left_semi")
+    strange = outside(cols)
+    n_files = strange.groupBy(*new).agg(F.count(F.lit(1)).alias("n_files"))
+    together = strange.join(inside(cols), ["feed", "file_name"]).groupBy(*key).agg(F.count(F.lit(1)).alias("n_together"))
+    held = cells.where("json_type <> 'void'").join(order.select("file_name", "feed"), "file_name")
+
+    def common(what: str, n_all: str, n_common: str) -> tuple[DataFrame, DataFrame]:
+        mine = outside(held.select("feed", "column_name", what).distinct())
+        theirs = inside(held.select("column_name", what).distinct())
+        return mine.groupBy(*new).agg(F.count(F.lit(1)).alias(n_all)), mine.join(theirs, what).groupBy(*key).agg(F.count(F.lit(1)).alias(n_common))
+
+    n_values, shared = common("value_hash", "n_values", "n_shared")
+    n_shapes, alike = common("shape_hash", "n_shapes", "n_alike")
+    types = outside(held.select("feed", "column_name", "json_type").distinct()).groupBy(*new).agg(F.collect_set("json_type").alias("_types"))
     wanted = names.select(F.col("_c").alias("column_name"), "column_type").groupBy("column_name").agg(F.collect_set("column_type").alias("_wanted"))
-    both = alike.select("new_name", "column_name").union(handed.select("new_name", "column_name")).distinct()
-    scored = (
-        both.join(alike, ["new_name", "column_name"], "left").join(n_shapes, "new_name").join(held, "new_name").join(wanted, "column_name").join(shared, ["new_name", "column_name"], "left").join(n_values, "new_name").join(n_files, "new_name").join(together, ["new_name", "column_name"], "left").join(n_begins, "new_name", "left").join(handed, ["new_name", "column_name"], "left")
-        .select(
-            "new_name", "column_name",
-            (1 - F.coalesce("n_together", F.lit(0)) / F.col("n_files")).alias("apart"),
-            (F.coalesce("n_shared", F.lit(0)) / F.col("n_values")).alias("known"),
-            (F.coalesce("n_alike", F.lit(0)) / F.col("n_shapes")).alias("alike"),
-            F.when(F.col("n_begins") > 0, F.coalesce("n_handed", F.lit(0)) / F.col("n_begins")).alias("handover"),
-            (~F.arrays_overlap("_types", "_wanted") & (F.coalesce("n_alone", F.lit(0)) >= SURE_HANDOVER * F.col("n_begins")) & (F.col("n_begins") > 0)).alias("_retyped"),
-        )
-        .where((F.col("apart") >= MIN_APART) & (F.coalesce("_retyped", F.lit(False)) | ((F.col("known") >= MIN_VALUES) & (F.coalesce("handover", F.lit(1.0)) >= MIN_HANDOVER)) | ((F.col("alike") >= MIN_SHAPES) & (F.col("handover") >= SURE_HANDOVER))))
+    both = alike.select(*key).union(handed.select(*key)).distinct()
+    for df, by in ((n_files, new), (n_values, new), (n_shapes, new), (types, new), (wanted, ["column_name"])):
+        both = both.join(df, by)
+    for df, by in ((alike, key), (shared, key), (together, key), (n_begins, new), (handed, key)):
+        both = both.join(df, by, "left")
+    # Retyped: the name never holds the column's contract type.
+    retyped = ~F.arrays_overlap("_types", "_wanted") & (F.col("n_begins") > 0) & (F.coalesce("n_alone", F.lit(0)) >= SURE_HANDOVER * F.col("n_begins"))
+    scored = both.select(
+        *key, (1 - F.coalesce("n_together", F.lit(0)) / F.col("n_files")).alias("apart"), (F.coalesce("n_shared", F.lit(0)) / F.col("n_values")).alias("known"),
+        (F.coalesce("n_alike", F.lit(0)) / F.col("n_shapes")).alias("alike"), F.when(F.col("n_begins") > 0, F.coalesce("n_handed", F.lit(0)) / F.col("n_begins")).alias("handover"), retyped.alias("_retyped"),
     )
-    best = Window.partitionBy("new_name").orderBy(F.col("known").desc(), F.col("handover").desc(), "column_name")
+    by_values = (F.col("known") >= MIN_VALUES) & (F.coalesce("handover", F.lit(1.0)) >= MIN_HANDOVER)
+    by_shapes = (F.col("alike") >= MIN_SHAPES) & (F.col("handover") >= SURE_HANDOVER)
+    sure = F.when(F.col("feed") == EVERY_FEED, F.coalesce("_retyped", F.lit(False)) | by_values | by_shapes).otherwise(by_values & F.col("handover").isNotNull())
+    scored = scored.where((F.col("apart") >= MIN_APART) & sure)
+    best = Window.partitionBy(*new).orderBy(F.col("known").desc(), F.col("handover").desc(), "column_name")
     return scored.withColumn("_rank", F.row_number().over(best)).where("_rank = 1").drop("_rank", "_retyped")
 
 
 def catalogue(raw: DataFrame, contract: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """The file order, the footers, the alias table and the renames (file_name, column_name, new_name) of ``raw``."""
-    fields = explode_fields(raw)
-    footer = materialise(footers(fields), "footers")
+    cells = materialise(cells_of(raw), "cells")
+    footer = materialise(footers(cells), "footers")
     order = materialise(file_order(raw), "file-order")
-    values = fields.where("json_type <> 'void'").select("column_name", "json_type", "value").distinct()
-    alias = materialise(aliases(order, footer, values, contract), "aliases")
-    return order, footer, alias, materialise(renames(order, footer, alias, contract), "renames")
+    spans = materialise(lifespans(order, footer.select("file_name", "column_name", F.lit(ANY_TYPE).alias("json_type")).distinct()), "lifespans")
+    alias = materialise(aliases(order, footer, spans, cells, contract), "aliases")
+    return order, footer, alias, materialise(renames(order, footer, alias), "renames")
+
 
+def renames(order: DataFrame, footer: DataFrame, alias: DataFrame) -> DataFrame:
+    """(file_name, column_name, new_name): by file, the contract columns it lacks whose alias it has.
 
-def renames(order: DataFrame, footer: DataFrame, alias: DataFrame, contract: DataFrame) -> DataFrame:
-    """(file_name, column_name, new_name): by file, the contract columns it lacks whose alias it has; of two aliases the one with more known values, then the lesser name."""
+    Of its feed's own evidence and that of all feeds, the one with more known values says what a name stands for, the latter
+    among equals; of two names for one column the one with more known values, then the lesser name.
+    """
     cols = footer.select("file_name", "column_name").distinct()
-    got = cols.withColumnRenamed("column_name", "new_name").join(alias, "new_name")
+    there = cols.withColumnRenamed("column_name", "new_name").join(order.select("file_name", "feed"), "file_name")
+    got = there.join(alias, ["feed", "new_name"]).unionByName(there.withColumn("feed", F.lit(EVERY_FEED)).join(alias, ["feed", "new_name"]))
+    meant = Window.partitionBy("file_name", "new_name").orderBy(F.col("known").desc(), "feed")
+    got = got.withColumn("_rank", F.row_number().over(meant)).where("_rank = 1").drop("_rank")
     free = got.join(cols, ["file_name", "column_name"], "left_anti")
     best = Window.partitionBy("file_name", "column_name").orderBy(F.col("known").desc(), "new_name")
     return free.withColumn("_rank", F.row_number().over(best)).where("_rank = 1").select("file_name", "column_name", "new_name")
@@ -189,7 +222,15 @@ def change_log(raw: DataFrame, contract: DataFrame) -> DataFrame:
     return starts.unionByName(ends).join(order, ["feed", "file_pos"]).select("feed", "file_name", "event", "column_name", "json_type")
 
 
-def _cast(name: str, wanted: str, kind: Column, value: Column) -> Column:
+class ListForm(NamedTuple):
+    """How the parts of a list make one string, where a file holds a list in place of a string."""
+
+    join: str = ";"
+    prefix: str = ""
+    suffix: str = ""
+
+
+def _cast(wanted: str, form: ListForm, kind: Column, value: Column) -> Column:
     """``value`` (JSON text of type ``kind``) as the contract's type; null where it can't be."""
     text = F.get_json_object(F.concat(F.lit('{"v":'), value, F.lit("}")), "$.v")
     if wanted == "bigint":
@@ -197,27 +238,28 @@ def _cast(name: str, wanted: str, kind: Column, value: Column) -> Column:
     items = F.from_json(value, "array<string>")
     if wanted == "array<string>":
         return F.when(kind == "array<string>", items).when(kind == "string", F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, ";")))
-    joined = F.concat(F.lit(LIST_PREFIX.get(name, "")), F.array_join(items, LIST_JOIN.get(name, ";")), F.lit(LIST_SUFFIX.get(name, "")))
+    joined = F.concat(F.lit(form.prefix), F.array_join(items, form.join), F.lit(form.suffix))
     return F.when(kind.startswith("array"), joined).when(kind == "object", F.coalesce(F.get_json_object(value, "$.name"), value)).otherwise(text)
 
 
-def consistent(raw: DataFrame, contract: DataFrame) -> DataFrame:
+def consistent(raw: DataFrame, contract: DataFrame, list_forms: dict[str, ListForm] | None = None) -> DataFrame:
     """One row per record_id with the contract's columns in contract order: renamed columns under their contract name, other types cast.
 
     Repeated records come out once. A column that a record lacks, a null, or a value without a cast to the contract's type is
-    null; a payload that is no JSON object gives a row of nulls. ``contract`` must have few columns: it is the schema.
+    null; a payload that is no JSON object gives a row of nulls. ``list_forms`` says by column how a list makes a string, where ';'
+    between its parts isn't it. ``contract`` must have few columns: it is the schema.
     """
     _, _, _, renamed = catalogue(raw, contract)
+    forms = list_forms or {}
     schema = [(r[0], r[1]) for r in contract.orderBy("column_pos").select("column_name", "column_type").collect()]  # a schema, not data
     own = F.when(F.col("record_id").isNull(), F.xxhash64("file_name", "line_no", "payload"))  # rows without an id stay apart
     one = raw.groupBy("record_id", own.alias("_own")).agg(F.min(F.struct("file_name", "payload")).alias("_r")).select("record_id", "_r.*")
-    maps = renamed.groupBy(F.col("file_name").alias("_file")).agg(F.map_from_entries(F.collect_list(F.struct("column_name", "new_name"))).alias("_names"))
-    rows = one.join(maps, one["file_name"] == maps["_file"], "left").withColumn("_v", F.expr("from_json(payload, 'map<string,string>')"))
-    rows = rows.withColumn("_s", F.expr("try_parse_json(payload)"))
+    maps = renamed.groupBy(F.col("file_name").alias("_file")).agg(F.map_from_entries(F.collect_list(F.struct("column_name", "new_name"))).alias("_names"))  # a schema a file
+    rows = one.join(maps, one["file_name"] == maps["_file"], "left").withColumn("_s", F.expr("try_parse_json(payload)"))
     rows = rows.withColumn("_types", F.expr("transform_values(cast(_s as map<string,variant>), (k, x) -> schema_of_variant(x))")).withColumn("_json", F.expr("transform_values(cast(_s as map<string,variant>), (k, x) -> to_json(x))"))
     out = []
     for name, wanted in schema:
         key = F.coalesce(F.try_element_at("_names", F.lit(name)), F.lit(name))
         kind = json_type(F.try_element_at("_types", key))
-        out.append(_cast(name, wanted, kind, F.try_element_at("_json", key)).alias(name))
+        out.append(_cast(wanted, forms.get(name, ListForm()), kind, F.try_element_at("_json", key)).alias(name))
     return rows.select("record_id", *out)

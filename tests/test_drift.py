@@ -52,6 +52,16 @@ def test_a_name_that_stands_beside_the_column_is_no_alias(spark, contract):
     assert got == {("f-20240104-4.jsonl", "removed", "repo_name", "")}
 
 
+def test_a_name_means_in_each_feed_what_its_values_say(spark, contract):
+    files = {}
+    for feed, column in (("f", "repo_name"), ("g", "file_mask")):
+        full = [dict(FULL, repo_name=f"{feed}/{i}", file_mask=f".{feed}{i}") for i in range(6)]
+        files[f"{feed}-20240101-1.jsonl"] = full
+        files[f"{feed}-20240102-2.jsonl"] = [{("x" if k == column else k): v for k, v in r.items()} for r in full]
+    got = {tuple(r) for r in D.differences(raw(spark, files), contract).collect()}
+    assert got == {("f-20240102-2.jsonl", "renamed", "repo_name", "x"), ("g-20240102-2.jsonl", "renamed", "file_mask", "x")}
+
+
 def test_order_repeats_and_late_rows_change_nothing(spark, contract):
     files = {"f-20240101-1.jsonl": [FULL], "f-20240102-2.jsonl": [dict(reversed(FULL.items()), more=1)]}
     rows = raw(spark, files)
@@ -65,7 +75,7 @@ def test_consistent_table(spark, contract):
         "f-20240102-2.jsonl": [{"project": "a/b", "n": "12", "tags": "x;y", "file_mask": {"name": "m", "id": 3}}],
         "f-20240103-3.jsonl": [{"n": "many", "tags": ""}, "no json"],
     }
-    got = {r["record_id"]: tuple(r)[1:] for r in D.consistent(raw(spark, files), contract).collect()}
+    got = {r["record_id"]: tuple(r)[1:] for r in D.consistent(raw(spark, files), contract, {"repo_name": D.ListForm("__"), "file_mask": D.ListForm("|", "(?i)\\.(", ")$")}).collect()}
     assert got == {1: ("a/b", 1, ["x"], ".c"), 2: ("a__b", 1, ["x"], "(?i)\\.(c|h)$"), 3: ("a/b", 12, ["x", "y"], "m"), 4: (None, None, [], None), 5: (None,) * 4}
 
 
