@@ -43,6 +43,20 @@ def test_repair_finds_what_a_full_comparison_finds(spark):
     assert {(t, w) for t in tokens for w in vocabulary if near(t, w)} <= got
 
 
+def test_repair_over_two_edits(spark):
+    v = spark.createDataFrame([("storage", True), ("soltav", False), ("data", True)], "word string, generic boolean")
+    t = spark.createDataFrame([(t,) for t in ("stroaeg", "soltxvy", "stv", "olav", "stg", "storages", "srg", "dta", "gst")], "token string")
+    one, two = ({(r["token"], r["word"]): r["sim"] for r in M.repair(t, v, edits).collect()} for edits in (1, 2))
+    assert set(one) == {("stg", "storage"), ("srg", "storage"), ("storages", "storage"), ("dta", "data")} and set(two) == set(one) | {("soltxvy", "soltav"), ("olav", "soltav")}
+    assert two["soltxvy", "soltav"] < one["dta", "data"]
+
+
+def test_forms_of_one_entry_only(spark):
+    rows = [("A", ["kor", "energy"]), ("B", ["mal", "energy"]), ("C", ["nub", "energy"]), ("D", ["nub"]), ("E", ["kor", "extra", "energy"])]
+    got = {(r["entry"], r["form"], r["word"]) for r in M.entry_forms(spark.createDataFrame(rows, "entry string, tokens array<string>")).collect() if r["form"] != "whole"}
+    assert got == {("A", "telling", "kor"), ("B", "telling", "mal"), ("E", "telling", "kor"), ("E", "telling", "extra"), ("A", "initials", "ke"), ("B", "initials", "me"), ("C", "initials", "ne"), ("E", "initials", "kee")}
+
+
 def test_empty_tables(spark):
     empty = lambda s: spark.createDataFrame([], s)
     fl = spark.createDataFrame(LIST, "firm_id bigint, firm string, home_domain string, city string")
