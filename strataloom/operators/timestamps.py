@@ -1,8 +1,8 @@
 """Mixed timestamp forms and zones, normalised to one UTC instant (problem 1).
 
-Distinct-value dictionary: the raw strings are reduced to distinct (text, zone) pairs with a map-side combine, each pair is
-parsed exactly once with built-in expressions, the parsed pairs are appended to a stored dictionary, and the instants are
-joined back to the rows. A later call with the same dictionary parses only the pairs it has not seen.
+Distinct-value dictionary: the raw strings are reduced to distinct (source, text, zone) entries with a map-side combine, each is
+parsed exactly once with built-in expressions, the parsed entries are appended to a stored dictionary, and the instants are
+joined back to the rows. A later call with the same dictionary parses only what it has not seen.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataloom.runtime import scratch_path
+from strataloom.runtime import scratch_path, shared_dir, spread
 
 DAY = 86_400_000_000
 
@@ -139,26 +139,42 @@ def zone_names() -> list[str]:
 
 
 class TimestampDictionary:
-    """A stored dictionary (text, zone) -> (utc_micros, utc_text), grown by what it has not seen."""
+    """A stored dictionary (source, text, zone) -> (utc_micros, utc_text), grown by what it has not seen.
+
+    An entry depends on nothing but its key and the abbreviations, so a dictionary serves any data that these are meant for. Two
+    learners at once may both append an entry; it is read once.
+    """
+
+    KEY = ("source", "text", "zone")
 
     def __init__(self, spark, path: str | None = None):
         self.spark, self.path = spark, path or scratch_path(spark, "timestamps")
 
     def entries(self) -> DataFrame | None:
+        """The dictionary, each entry once; None before anything was learned."""
         try:
-            return self.spark.read.parquet(self.path)
-        except AnalysisException:
+            return self.spark.read.parquet(self.path).groupBy(*self.KEY).agg(F.first("utc_micros").alias("utc_micros"), F.first("utc_text").alias("utc_text"))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
 
-    def learn(self, pairs: DataFrame, abbrevs: DataFrame) -> DataFrame:
-        """Parse and append the distinct pairs of ``pairs`` that the dictionary lacks; return the whole dictionary."""
-        new = pairs.select("text", "zone").where("text is not null").distinct()
+    def learn(self, found: DataFrame, abbrevs: DataFrame) -> DataFrame:
+        """Parse and append the distinct entries of ``found`` (source, text, zone) that the dictionary lacks; return the whole dictionary."""
+        new = found.select(*self.KEY).where("text is not null").distinct()
         if (old := self.entries()) is not None:
-            new = new.join(old.select("text", "zone"), new.text.eqNullSafe(old.text) & new.zone.eqNullSafe(old.zone), "left_anti")
-        parse(new, abbrevs).write.mode("append").option("compression", "zstd").parquet(self.path)
+            same = [new[c].eqNullSafe(old[c]) for c in self.KEY]
+            new = new.join(old.select(*self.KEY), same[0] & same[1] & same[2], "left_anti")
+        parse(spread(new), abbrevs).write.mode("append").option("compression", "zstd").parquet(self.path)
         return self.entries()
 
 
+def dictionary_path(spark, abbrevs: DataFrame) -> str:
+    """Where the dictionary for these abbreviations lies in the shared folder, for every session that uses it."""
+    meant = abbrevs.select(F.sum(F.xxhash64(F.upper(F.trim("abbrev")), F.col("offset_minutes").cast("bigint")).cast("decimal(38,0)"))).first()[0]
+    return f"{shared_dir(spark)}/strataloom/timestamp-dictionary/{int(meant or 0) % (1 << 64):016x}"
+
+
 def normalise(rows: DataFrame, fields: list[str], clocks: DataFrame, abbrevs: DataFrame, source: str = "repo_name", path: str | None = None) -> DataFrame:
     """``rows`` with <field>_utc for each of ``fields``: the instant's text, or 'skipped', 'ambiguous' or 'invalid'.
 
@@ -169,11 +185,11 @@ def normalise(rows: DataFrame, fields: list[str], clocks: DataFrame, abbrevs: Da
     spark = rows.sparkSession
     clock = clocks.groupBy(F.col("repo_name").alias("_source")).agg(F.min("tz_name").alias("_clock")).where("_source is not null")
     rows = rows.join(clock, rows[source] == clock["_source"], "left").drop("_source")
-    pairs = rows.select(F.explode(F.array(*[F.col(f"`{f}`") for f in fields])).alias("text"), F.col("_clock").alias("zone"))
-    entries = TimestampDictionary(spark, path).learn(pairs, abbrevs)
+    found = rows.select(F.col(f"`{source}`").alias("source"), F.explode(F.array(*[F.col(f"`{f}`") for f in fields])).alias("text"), F.col("_clock").alias("zone"))
+    entries = TimestampDictionary(spark, path).learn(found, abbrevs)
     for f in fields:
-        d = entries.select(F.col("text").alias("_text"), F.col("zone").alias("_zone"), F.col("utc_text").alias(f"{f}_utc"))
-        rows = rows.join(d, (rows[f] == d["_text"]) & rows["_clock"].eqNullSafe(d["_zone"]), "left").drop("_text", "_zone")
+        d = entries.select(F.col("source").alias("_source"), F.col("text").alias("_text"), F.col("zone").alias("_zone"), F.col("utc_text").alias(f"{f}_utc"))
+        rows = rows.join(d, rows[source].eqNullSafe(d["_source"]) & (rows[f] == d["_text"]) & rows["_clock"].eqNullSafe(d["_zone"]), "left").drop("_source", "_text", "_zone")
     return rows.drop("_clock")
 
 

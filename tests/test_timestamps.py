@@ -81,11 +81,15 @@ def test_each_hour_around_the_changes_against_zoneinfo(spark, abbrevs):
 
 def test_the_dictionary_learns_only_what_is_new(spark, abbrevs, tmp_path):
     path = f"{tmp_path}/dictionary"
-    pairs = lambda *x: spark.createDataFrame([(t, "UTC") for t in x], "text string, zone string")
+    found = lambda *x: spark.createDataFrame([("r", t, "UTC") for t in x], "source string, text string, zone string")
     d = T.TimestampDictionary(spark, path)
-    assert d.learn(pairs("2020-01-01 00:00:00", "no date", "no date"), abbrevs).count() == 2
-    assert d.learn(pairs("no date", "2020-01-02 00:00:00"), abbrevs).count() == 3
+    assert d.entries() is None
+    assert d.learn(found("2020-01-01 00:00:00", "no date", "no date"), abbrevs).count() == 2
+    assert d.learn(found("no date", "2020-01-02 00:00:00"), abbrevs).count() == 3
     assert T.TimestampDictionary(spark, path).entries().count() == 3
+    T.parse(found("no date"), abbrevs).write.mode("append").parquet(path)  # as a second learner would at the same time
+    assert d.entries().count() == 3
+    assert T.dictionary_path(spark, abbrevs) == T.dictionary_path(spark, abbrevs.orderBy("abbrev")) != T.dictionary_path(spark, abbrevs.limit(2))
 
 
 def test_rows_with_clashing_columns_and_empty_tables(spark, abbrevs):
