@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strataloom.runtime import materialise
+
 #: Fixed value: a key is heavy from 1/25 of all rows on.
 HEAVY_ONE_IN = 25
 
@@ -30,9 +32,9 @@ def heavy_keys(df: DataFrame, fields: list[str], one_in: int = HEAVY_ONE_IN) ->
     """(key_field, key_value, n_rows, n_all) of the values, neither null nor blank, that hold at least 1/one_in of all rows.
 
     Repeated rows count. A value is taken as stored: ' a' and 'a' are two keys. An empty table has no heavy key; ties all
-    come out. The totals come from the counts' own exchange, which Spark reuses: the table is scanned once.
+    come out. The counts are written, so that the totals come from them and the table is scanned once.
     """
-    counts = key_counts(df, fields)
+    counts = materialise(key_counts(df, fields), "key-counts")
     total = counts.groupBy(F.col("key_field").alias("_field")).agg(F.sum("n_rows").alias("n_all"))
     heavy = counts.join(F.broadcast(total), counts["key_field"] == total["_field"]).drop("_field")  # one row per field
     return heavy.where((F.trim("key_value") != "") & F.col("key_value").rlike("\\S") & (F.col("n_rows") * one_in >= F.col("n_all")))
