@@ -220,8 +220,9 @@ def shared_suffixes(documents: DataFrame, reps: DataFrame, span: int = SPAN) ->
     that the planner knows their sizes and broadcasts them only where they are small.
     """
     texts = documents.where(F.length("text") >= span).select("doc_id", "text")
-    one = reps.where("doc_id = rep").select("doc_id")
-    kept = texts.mapInPandas(partial(_anchor_batches, span), "doc_id bigint, pos int, prefix bigint").join(one, "doc_id", "left_semi")
+    # The documents that only repeat another's text: few beside all, so leaving them out moves less than picking the others.
+    again = materialise(reps.groupBy("doc_id").agg(F.bool_or(F.col("doc_id") == F.col("rep")).alias("_own")).where("not _own").select("doc_id"), "copies-only")
+    kept = texts.where("doc_id is not null").mapInPandas(partial(_anchor_batches, span), "doc_id bigint, pos int, prefix bigint").join(again, "doc_id", "left_anti")
     kept = materialise(kept, "anchors")
     known = kept.groupBy("prefix").agg(F.min("doc_id").alias("_a"), F.max("doc_id").alias("_b")).where("_a < _b").select("prefix")
     hits = materialise(kept.join(materialise(known, "prefixes"), "prefix"), "hits")
