@@ -141,6 +141,18 @@ def full_mixture(documents: DataFrame, targets: DataFrame, tokenizers: str = TOK
     return mix(sizes, targets, budget=float(sum(s.tokens for s in supply(sizes, targets) if s.target > 0 and s.repeats > 0)))
 
 
+def even_mixture(documents: DataFrame, targets: DataFrame, tokenizers: str = TOKENIZERS) -> DataFrame:
+    """``mix`` of documents by temperature alone: the token shares of the listed sources, raised to the exponent that gives them the entropy of the targets.
+
+    Bent towards equal targets, t**(1-a) is all that is left of the weights. It has as many tokens as the listed sources have together.
+    """
+    sizes = materialise(sized(documents, tokenizers), "sizes")
+    live = [s for s in supply(sizes, targets) if s.tokens > 0 and s.target > 0 and s.repeats > 0]
+    total = sum(s.target for s in live)
+    even = targets.where(F.col("target_share") > 0).withColumn("target_share", F.lit(1.0))
+    return mix(sizes, even, float(sum(s.tokens for s in live)), wanted_entropy=entropy([s.target / total for s in live]))
+
+
 def shares(documents: DataFrame, targets: DataFrame, tokenizers: str = TOKENIZERS) -> DataFrame:
     """One row per source of ``documents`` or ``targets``: what there is, what is wanted and what the mix has.
 
