@@ -44,6 +44,12 @@ def test_merges_against_the_library(text):
         assert E.merge(raw, ranks) == E._heap_merge(raw, ranks) == enc.encode_ordinary(word if word.isprintable() else raw.decode("utf-8", "replace"))
 
 
+@settings(max_examples=500, deadline=None)
+@given(st.text(st.characters(max_codepoint=127), max_size=60))
+def test_ascii_words_are_those_of_the_pattern(text):
+    assert E.split(text) == E._SPLIT.findall(text) and "".join(E.split(text)) == text
+
+
 def _library(cache=[]):  # noqa: B006
     if not cache:
         cache.append(tiktoken.Encoding("own", pat_str=E.PATTERN, mergeable_ranks=E.load_ranks(VOCABULARY), special_tokens={}))
@@ -135,3 +141,14 @@ def test_mix_takes_an_entropy(spark):
     targets = spark.createDataFrame([("a", 0.5, 9), ("b", 0.5, 9)], "source string, target_share double, max_repeats bigint")
     got = X.mix(sizes, targets, budget=2000, wanted_entropy=0.6).groupBy("source").agg(E.F.sum("n_tokens")).collect()
     assert X.entropy([r[1] / 2000 for r in got]) == pytest.approx(0.6, abs=0.01)
+
+
+def test_an_even_mix_is_temperature_alone(spark):
+    n = {"a": 900, "b": 250, "c": 60}
+    docs = spark.createDataFrame([(i, f"word number {i} and more", s) for i, s in enumerate(s for s, k in n.items() for _ in range(k))], "doc_id bigint, text string, source string")
+    targets = spark.createDataFrame([("a", 0.5, 9), ("b", 0.3, 9), ("c", 0.2, 9), ("gone", 0.0, 9)], "source string, target_share double, max_repeats bigint")
+    have, got = ({s: sum(r["n_tokens"] for r in rows if r["source"] == s) for s in n} for rows in (X.sized(docs).collect(), X.even_mixture(docs, targets).collect()))
+    shares = {s: got[s] / sum(got.values()) for s in n}
+    assert X.entropy(list(shares.values())) == pytest.approx(X.entropy([0.5, 0.3, 0.2]), abs=0.005)
+    power = [math.log(shares[s] / shares["c"]) / math.log(have[s] / have["c"]) for s in "ab"]
+    assert power[0] == pytest.approx(power[1], abs=0.03) and 0 < power[0] < 1
