@@ -16,9 +16,12 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +31,8 @@ from strataloom.runtime import materialise, pairs_within, pieces, spread
 
 #: Characters of the indexed suffix; names of a piece of a block; names of a piece from which pairs are sifted by letter counts first.
 SUFFIX, BLOCK, SIFTED = 5, 200, 12
+#: Rows that a task holds back to leave out repeated ones before it hands them on.
+HELD = 10_000
 #: Longest-common-subsequence ratios that family names and given names need.
 FAMILY, GIVEN = 0.86, 0.8
 #: A given name: different tokens it stands before, share of its names in which it stands first.
@@ -166,79 +171,128 @@ def _token_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"name": pdf["name"], "tokens": [tokens_of(r) if isinstance(r, str) and r else tokens_of(n) for n, r in zip(pdf["name"], pdf["restored"])]})
 
 
+def _counts(tokens: list[str], letters: np.ndarray) -> np.ndarray:
+    """How often each of the code points ``letters`` stands in each token."""
+    codes = np.frombuffer("".join(tokens).encode("utf-32-le", "surrogatepass"), np.uint32)
+    at = np.searchsorted(letters, codes).clip(max=len(letters) - 1)
+    of = np.repeat(np.arange(len(tokens)), [len(t) for t in tokens])
+    there = letters[at] == codes
+    return np.bincount(of[there] * len(letters) + at[there], minlength=len(tokens) * len(letters)).reshape(len(tokens), len(letters))
+
+
 def _bound(a: list[str], b: list[str]) -> np.ndarray:
     """For every two tokens, whether their letter counts allow a longest common subsequence that links them."""
-    letters = {c: i for i, c in enumerate(dict.fromkeys("".join(a)))}
-    most = np.zeros((len(a), len(b)), np.int16)
-    sides = []
-    for ts in (a, b):
-        n = np.zeros((len(letters), len(ts)), np.int16)
-        for j, t in enumerate(ts):
-            for c in t:
-                if c in letters:
-                    n[letters[c], j] += 1
-        sides.append(n)
-    for x, y in zip(*sides):
-        most += np.minimum.outer(x, y)
-    most += np.add.outer([t.count(ANY) for t in a], [t.count(ANY) for t in b]).astype(np.int16)
+    letters = np.unique(np.frombuffer("".join(a).encode("utf-32-le", "surrogatepass"), np.uint32))
+    sides = [_counts(ts, letters) for ts in (a, b)]
+    # The lesser of two counts, summed over the letters, as a product: one column for each letter and number of times.
+    levels = [[n >= k for k in range(1, int(min(sides[0].max(), sides[1].max())) + 1)] for n in sides]
+    most = np.zeros((len(a), len(b)), np.float32)
+    if levels[0]:
+        x, y = (np.concatenate(n, axis=1) for n in levels)
+        used = x.any(axis=0) & y.any(axis=0)
+        most += x[:, used].astype(np.float32) @ y[:, used].astype(np.float32).T
+    most += np.add.outer([t.count(ANY) for t in a], [t.count(ANY) for t in b])
     sizes = np.add.outer([len(t) for t in a], [len(t) for t in b])
     # A joined user name is compared without its first letter, a swap of neighbours keeps all letters.
     return 2 * most >= FAMILY * (sizes - 1)
 
 
+def _alike(x: str, y: str) -> bool:
+    """Whether ``same_person`` can link two names by these tokens: alike as family names, or one without its first letter."""
+    return lcs_ratio(x, y) >= FAMILY or _same_family(x, y) or lcs_ratio(x[1:], y) >= FAMILY or lcs_ratio(x, y[1:]) >= FAMILY
+
+
 def _sifted(left: list[dict], right: list[dict], known: Known) -> Iterator[tuple[dict, dict]]:
-    """The pairs of two pieces that ``same_person`` can link: two tokens, not both given names, with letters enough in common."""
+    """The pairs of two pieces that ``same_person`` can link: two tokens, not both given names, that are alike; each two tokens are compared once."""
     if len(left) * len(right) < SIFTED * SIFTED:
         yield from ((x, y) for x in left for y in right)
         return
-    flat = []
+    bearers: list[dict[str, tuple[list[int], list[int]]]] = []  # token -> names that bear it otherwise, as a given name
     for side in (left, right):
-        given = [given_of(x["tokens"], known) if len(x["tokens"]) > 1 else set() for x in side]
-        flat.append([(i, t, t in g) for i, (x, g) in enumerate(zip(side, given)) for t in x["tokens"] if len(t) > 1])
-    if not flat[0] or not flat[1]:
+        of: dict[str, tuple[list[int], list[int]]] = {}
+        for i, x in enumerate(side):
+            given = given_of(x["tokens"], known) if len(x["tokens"]) > 1 else NONE
+            for t in x["tokens"]:
+                if len(t) > 1:
+                    of.setdefault(t, ([], []))[t in given].append(i)
+        bearers.append(of)
+    own = [list(of) for of in bearers]
+    if not own[0] or not own[1]:
         return
-    own = {}
-    for k, side in enumerate(flat):
-        own[k] = list(dict.fromkeys(t for _, t, _ in side))
-    fits = _bound(own[0], own[1])
-    at = [{t: i for i, t in enumerate(own[k])} for k in (0, 1)]
-    fits = fits[np.ix_([at[0][t] for _, t, _ in flat[0]], [at[1][t] for _, t, _ in flat[1]])]
-    fits &= ~np.logical_and.outer([g for *_, g in flat[0]], [g for *_, g in flat[1]])
-    i, j = np.nonzero(fits)
-    of = [np.array([n for n, *_ in side]) for side in flat]
-    for k in np.unique(of[0][i] * len(right) + of[1][j]):
+    linked: set[int] = set()
+    for k, m in zip(*(at.tolist() for at in np.nonzero(_bound(own[0], own[1])))):
+        (other_x, given_x), (other_y, given_y) = bearers[0][own[0][k]], bearers[1][own[1][m]]
+        if (other_x or other_y) and _alike(own[0][k], own[1][m]):
+            linked.update(i * len(right) + j for i in other_x for j in (*other_y, *given_y))
+            linked.update(i * len(right) + j for i in given_x for j in other_y)
+    for k in sorted(linked):
         yield left[k // len(right)], right[k % len(right)]
 
 
-def _sides(names: list[dict], same: bool) -> tuple[list[dict], list[dict]]:
-    names = [{"name": x["name"], "tokens": [t["t"] for t in x["tokens"]], "known": x["tokens"], "right": x["right"]} for x in names]
-    return (names, names) if same else ([x for x in names if not x["right"]], [x for x in names if x["right"]])
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, bool, bool, dict, list]]:
+    """(unit, together, right, name with its tokens, (token, given, forms) of what is known of them) of each row."""
+    for batch in batches:
+        tokens, (key, i, j, together, right, name) = batch.column("tokens"), (batch.column(c).to_pylist() for c in ("key", "i", "j", "together", "right", "name"))
+        parts = tokens.flatten()
+        ts, fields = parts.field("t").to_pylist(), {f.name for f in parts.type}
+        given = parts.field("given").to_pylist() if "given" in fields else [False] * len(ts)
+        forms = parts.field("forms").to_pylist() if "forms" in fields else [None] * len(ts)
+        ends = np.cumsum(tokens.value_lengths().to_numpy(zero_copy_only=False)).tolist()
+        for n, (start, end) in enumerate(zip([0, *ends], ends)):
+            told = [x for x in zip(ts[start:end], given[start:end], forms[start:end]) if x[1] or x[2]]
+            yield (key[n], i[n], j[n]), together[n], right[n], {"name": name[n], "tokens": ts[start:end]}, told
 
 
-def _compare_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        links = set()
-        for names, same, together in zip(pdf["names"], pdf["same"], pdf["together"]):
-            left, right = _sides(names, same)
-            parts = [t for x in (left if same else left + right) for t in x["known"]]
-            known = Known({t["t"] for t in parts if t["given"]}, {t["t"]: frozenset(t["forms"]) for t in parts if t["forms"] is not None and len(t["forms"])})
-            for x, y in _sifted(left, right, known):
-                pair = (min(x["name"], y["name"]), max(x["name"], y["name"]))
-                if (x["name"] < y["name"] or not same) and pair not in links and same_person(x["tokens"], y["tokens"], bool(together), known):
-                    links.add(pair)
-        yield pd.DataFrame(sorted(links), columns=["a", "b"])
-
-
-def _given_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        out = set()
-        for names, same in zip(pdf["names"], pdf["same"]):
-            left, right = _sides(names, same)
-            for x in left:
-                for y in right:
-                    if (x["name"] < y["name"] or not same) and (got := other_given(x["tokens"], y["tokens"])):
-                        out.add((min(got[:2]), max(got[:2]), got[2]))
-        yield pd.DataFrame(sorted(out), columns=["g", "h", "family"])
+def _read_units(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[dict], list[dict], bool, bool, Known]]:
+    """(left, right, same, together, known) of each unit, whose rows stand together; no more than one unit is held."""
+    for (_, i, j), rows in groupby(_rows(batches), itemgetter(0)):
+        sides: tuple[list[dict], list[dict]] = ([], [])
+        parts: list[tuple] = []
+        together = False
+        for _, together, right, name, told in rows:
+            sides[right].append(name)
+            parts += told
+        known = Known({t for t, given, _ in parts if given}, {t: frozenset(forms) for t, _, forms in parts if forms}) if parts else NOTHING
+        yield sides[0], sides[0] if i == j else sides[1], i == j, together, known
+
+
+def _handed_on(found: Iterator[tuple[str, ...]], columns: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
+    """The distinct rows of ``found``, HELD at a time."""
+    held: set[tuple[str, ...]] = set()
+    for row in found:
+        held.add(row)
+        if len(held) >= HELD:
+            yield _batch_of(held, columns)
+            held.clear()
+    yield _batch_of(held, columns)
+
+
+def _batch_of(rows: set[tuple[str, ...]], columns: tuple[str, ...]) -> pa.RecordBatch:
+    ordered = sorted(rows)
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in ordered], pa.string()) for k in range(len(columns))], names=list(columns))
+
+
+def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, str]]:
+    for left, right, same, together, known in _read_units(batches):
+        for x, y in _sifted(left, right, known):
+            if (x["name"] < y["name"] or not same) and same_person(x["tokens"], y["tokens"], bool(together), known):
+                yield min(x["name"], y["name"]), max(x["name"], y["name"])
+
+
+def _compare_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _handed_on(_links(batches), ("a", "b"))
+
+
+def _other_givens(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, str, str]]:
+    for left, right, same, _, _ in _read_units(batches):
+        for x in left:
+            for y in right:
+                if (x["name"] < y["name"] or not same) and (got := other_given(x["tokens"], y["tokens"])):
+                    yield min(got[:2]), max(got[:2]), got[2]
+
+
+def _given_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _handed_on(_other_givens(batches), ("g", "h", "family"))
 
 
 def spellings(commits: DataFrame) -> DataFrame:
@@ -281,10 +335,12 @@ def short_forms(pairs: DataFrame) -> DataFrame:
 
 
 def _units(blocks: DataFrame, named: DataFrame) -> DataFrame:
-    """(names, same, together): the names of every two pieces of a block, with their tokens."""
-    met = pieces(blocks, "key", "name", BLOCK).join(named, "name")
-    units = met.groupBy("key", "together", "i", "j").agg(F.collect_list(F.struct("name", "tokens", "right")).alias("names"))  # two pieces
-    return spread(units.select("names", (F.col("i") == F.col("j")).alias("same"), "together"))
+    """(key, i, j, together, right, name, tokens): the names of every two pieces of a block, the rows of two pieces next to each other in one partition.
+
+    A row is one name and no list of names, so what a task holds at once is a batch of small rows, however large the blocks are.
+    """
+    met = pieces(blocks.join(named, "name"), "key", "name", BLOCK).select("key", "i", "j", "together", "right", "name", "tokens")
+    return spread(met, "key", "i", "j").sortWithinPartitions("key", "i", "j")
 
 
 def link_names(tokens: DataFrame) -> DataFrame:
@@ -301,11 +357,11 @@ def link_names(tokens: DataFrame) -> DataFrame:
     named = materialise(spread(names).mapInPandas(_token_batches, "name string, tokens array<string>"), "names")
     blocks = materialise(blocks_of(named, beside), "blocks")
     plain = named.select("name", F.transform("tokens", lambda t: F.struct(t.alias("t"))).alias("tokens"))
-    seen = _units(blocks.where("together"), plain).mapInPandas(_given_batches, "g string, h string, family string")
+    seen = _units(blocks.where("together"), plain).mapInArrow(_given_batches, "g string, h string, family string")
     forms = materialise(short_forms(seen), "short-forms")
     each = named.select("name", F.posexplode("tokens").alias("pos", "t")).join(given_names(named), "t", "left").join(forms, "t", "left")
     known = each.groupBy("name").agg(F.array_sort(F.collect_list(F.struct("pos", "t", F.coalesce("given", F.lit(False)).alias("given"), "forms"))).alias("tokens"))  # of one name
-    links = _units(blocks, materialise(known, "known-names")).mapInPandas(_compare_batches, "a string, b string")
+    links = _units(blocks, materialise(known, "known-names")).mapInArrow(_compare_batches, "a string, b string")
     return components(links).select(F.col("id").alias("name"), F.col("component").alias("person"))
 
 

@@ -1,4 +1,9 @@
 import random
+import tracemalloc
+from itertools import groupby
+
+import pyarrow as pa
+from pyspark.sql import functions as F
 
 from strataloom.llm import names as N
 from strataloom.llm.components import components
@@ -145,3 +150,44 @@ def test_short_names_have_blocks_of_their_own(spark):
     people = [["Alex Wong", "Wong, Alex", "Alexander Wong"], ["A. Lee", "Ann Lee", "LEE Ann"], ["J. Kim", "James Kim", "Jim Kim"]]
     lone = ["Bob Lee", "Jan de Boer", "Jan de Vries", "Ann Kin"]
     assert linked(spark, [n for p in people for n in p] + lone, ("Alexander", "Alex"), ("James", "Jim")) == {(a, b) for p in people for a in p for b in p if a < b}
+
+
+def test_a_row_for_comparison_is_one_name_however_large_the_block(spark):
+    named = spark.createDataFrame([(f"{s} Smithers", [{"t": s.lower()}, {"t": "smithers"}]) for s in stems(460, 5)], "name string, tokens array<struct<t string>>")
+    units = N._units(named.select(F.lit("s|thers").alias("key"), F.lit(False).alias("together"), "name"), named)
+    rows = units.select(F.length(F.to_json(F.struct(*units.columns))).alias("size"), "name", "key", "i", "j", F.spark_partition_id().alias("p")).collect()
+    assert max(r["size"] for r in rows) < 300
+    runs = [u for u, _ in groupby((r["p"], r["key"], r["i"], r["j"]) for r in rows)]
+    assert len(runs) == len({u[1:] for u in runs}) == 6  # three pieces: each unit stands together, in one partition
+    assert {r["name"] for r in rows} == {r["name"] for r in named.collect()}
+
+
+def test_comparing_holds_one_unit_at_a_time():
+    tokens = pa.list_(pa.struct({"pos": pa.int32(), "t": pa.string(), "given": pa.bool_(), "forms": pa.list_(pa.string())}))
+    family, given = stems(120, 13, 5), ["Anna", "Bob", "Carl", "Robert"]
+
+    def batches(units, size):
+        rows = []
+        for u in range(units):
+            for k in range(60):
+                g, f = given[k % 4], family[(u + k % 15) % len(family)]
+                known = [{"pos": 0, "t": g.lower(), "given": True, "forms": ["robert"] if g == "Bob" else None}, {"pos": 1, "t": f.lower(), "given": False, "forms": None}]
+                rows.append({"key": f"s|{u}", "i": 0, "j": 1, "together": False, "right": k >= 30, "name": f"{g} {f}{u}{'' if k < 30 else '+'}", "tokens": known})
+        schema = pa.schema([("key", pa.string()), ("i", pa.int32()), ("j", pa.int32()), ("together", pa.bool_()), ("right", pa.bool_()), ("name", pa.string()), ("tokens", tokens)])
+        return [pa.RecordBatch.from_pylist(rows[k : k + size], schema) for k in range(0, len(rows), size)]
+
+    def links(units, size):
+        return {tuple(r.values()) for b in N._compare_batches(iter(batches(units, size))) for r in b.to_pylist()}
+
+    said = links(30, 10_000)
+    assert said and links(30, 7) == links(30, 60) == said  # a unit may go on in the next batch
+    peaks = []
+    for n in (20, 400):
+        sent = batches(n, 600)
+        N.lcs_ratio.cache_clear()
+        tracemalloc.start()
+        for _ in N._compare_batches(iter(sent)):
+            pass
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[1] < 2 * peaks[0] + (4 << 20)
